@@ -35,41 +35,53 @@ CONSTANT_SHARE = 0.7
 #: Lines to look up again that are broadcast at most (about 60 bytes each).
 BROADCAST_ROWS = 300_000
 
-_SPACE = "[\\\\x20\\\\x09-\\\\x0D]+"
-_TOKENS = f"transform(filter(split(line, '{_SPACE}'), t -> t <> ''), t -> if(t rlike '[0-9]', '<*>', t))"
 _LINE = ["h1", "h2", "leaf", "tokens", "constants"]
 
+#: A token with a digit; it can only begin where a token begins.
+_VARIABLE = "(?<![^\\\\x20\\\\x09-\\\\x0D])[^\\\\x20\\\\x09-\\\\x0D0-9]*+[0-9][^\\\\x20\\\\x09-\\\\x0D]*+"
+_MASKED = f"if(text rlike '[0-9]', regexp_replace(text, '{_VARIABLE}', '<*>'), text)"
+_SPACED = "if(masked rlike '[\\\\x09\\\\x0B-\\\\x0D]|\\\\x20\\\\x20', regexp_replace(masked, '[\\\\x20\\\\x09\\\\x0B-\\\\x0D]+', ' '), masked)"
+_TOKENS = "(length(line) - length(replace(line, ' ', '')) + 1)"
+_CONSTANTS = f"({_TOKENS} - if(contains(line, '<*>'), size(filter(split(line, ' '), t -> t = '<*>')), 0))"
+
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """k1, k2, at, masked (array) of the lines that may be dropped."""
+    """k1, k2, at, line (tokens with single spaces, variable fields masked) of
+    the lines that may be dropped.  Whole texts are masked before they are cut."""
+    masked = docs.where("text is not null").select("k1", "k2", F.expr(_MASKED).alias("masked")).select("k1", "k2", F.expr(_SPACED).alias("spaced"))
+    lines = masked.select("k1", "k2", F.posexplode(F.split("spaced", "\n")).alias("at", "line")).withColumn("line", F.trim("line"))
+    return lines.where(f"{_TOKENS} >= {LEAST_TOKENS} and {_CONSTANTS} >= {LEAST_CONSTANTS}")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
     k1, k2 = common.row_key(docs)
-    lines = docs.where("text is not null").select(k1.alias("k1"), k2.alias("k2"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    masked = lines.select("k1", "k2", "at", F.expr(_TOKENS).alias("masked")).where(f"size(masked) >= {LEAST_TOKENS}")
-    return masked.where(f"size(filter(masked, t -> t <> '<*>')) >= {LEAST_CONSTANTS}")
+    return docs.select(k1.alias("k1"), k2.alias("k2"), "text")
 
 
-def _narrow(lines: DataFrame) -> DataFrame:
-    text = "concat_ws(' ', masked)"
-    return lines.selectExpr(
-        "k1", "k2", "at", "masked", f"xxhash64({text}) as h1", f"xxhash64(1, {text}) as h2",
-        f"xxhash64(size(masked), concat_ws(' ', slice(masked, 1, {DEPTH}))) as leaf", "size(masked) as tokens", "size(filter(masked, t -> t <> '<*>')) as constants",
+def line_hashes(docs: DataFrame) -> DataFrame:
+    """k1, k2, at and hashes and counts of the lines that may be dropped."""
+    return _lines(_keyed(docs)).selectExpr(
+        "k1", "k2", "at", "xxhash64(line) as h1", "xxhash64(1, line) as h2",
+        f"xxhash64({_TOKENS}, substring_index(line, ' ', {DEPTH})) as leaf", f"{_TOKENS} as tokens", f"{_CONSTANTS} as constants",
     )
 
 
-def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def recurring(docs: DataFrame, hashes: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(h1, h2, f1, f2): lines whose template recurs, and the key of the
     template's first document."""
-    narrow = _narrow(_lines(docs))
-    once = narrow.groupBy("k1", "k2", *_LINE).agg(F.lit(1).alias("one"))
+    once = hashes.groupBy("k1", "k2", *_LINE).agg(F.lit(1).alias("one"))
     kinds = common.stored(once.groupBy(*_LINE).agg(F.count("*").alias("docs"), F.min(F.struct("k1", "k2")).alias("first")), "lines-kinds")
     leaves = kinds.groupBy("leaf").agg(F.count("*").alias("different")).where("different > 1").select("leaf")
     mixed = common.stored(kinds.join(leaves, "leaf", "left_semi"), "lines-mixed")
 
     # tokens of the lines in leaves with different lines, from their first documents
-    wanted = mixed.select("h1", "h2", F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"))
-    wanted = F.broadcast(wanted) if mixed.count() <= BROADCAST_ROWS else wanted
-    found = narrow.select("k1", "k2", "h1", "h2", "leaf", "masked").join(wanted, ["k1", "k2", "h1", "h2"])
-    tokens = found.select("h1", "h2", "leaf", F.posexplode("masked").alias("place", "token")).distinct().join(mixed.select("h1", "h2", "docs"), ["h1", "h2"])
+    wanted = mixed.select("h1", "h2", "leaf", F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"))
+    holders = wanted.select("k1", "k2").distinct()
+    if mixed.count() <= BROADCAST_ROWS:
+        wanted, holders = F.broadcast(wanted), F.broadcast(holders)
+    found = _lines(_keyed(docs).join(holders, ["k1", "k2"], "left_semi")).selectExpr("k1", "k2", "xxhash64(line) as h1", "xxhash64(1, line) as h2", "line")
+    found = found.join(wanted, ["k1", "k2", "h1", "h2"]).groupBy("h1", "h2", "leaf").agg(F.any_value("line").alias("line"))
+    tokens = found.select("h1", "h2", "leaf", F.posexplode(F.split("line", " ")).alias("place", "token")).join(mixed.select("h1", "h2", "docs"), ["h1", "h2"])
     tokens = common.stored(tokens, "lines-tokens")
     support = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support"))
     fixed = F.when(F.col("support") >= min_docs, F.col("token")).otherwise(F.lit("<*>"))
@@ -85,9 +97,9 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(k1, k2, dropped): the numbers, from 0, of each row's lines to drop."""
-    again = common.stored(recurring(docs, min_docs), "lines-recurring")
-    lines = _narrow(_lines(docs)).select("k1", "k2", "at", "h1", "h2")
-    hits = lines.join(again, ["h1", "h2"]).distinct()  # repeated rows have the same lines
+    hashes = common.stored(line_hashes(docs), "lines-hashes")
+    again = common.stored(recurring(docs, hashes, min_docs), "lines-recurring")
+    hits = hashes.select("k1", "k2", "at", "h1", "h2").join(again, ["h1", "h2"]).distinct()  # repeated rows have the same lines
     earlier = Window.partitionBy("k1", "k2", "h1", "h2").orderBy("at")
     hits = hits.withColumn("n", F.row_number().over(earlier)).where("n > 1 or k1 <> f1 or k2 <> f2")
     return hits.groupBy("k1", "k2").agg(F.collect_set("at").alias("dropped"))
@@ -97,13 +109,13 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The documents without the dropped lines, and n_lines and n_dropped;
     n_chars, if there, follows the text."""
     k1, k2 = common.row_key(docs)
-    drops = common.stored(dropped_lines(docs, min_docs), "lines-dropped")
-    marked = docs.withColumns({"__1": k1, "__2": k2}).join(drops.select(F.col("k1").alias("__1"), F.col("k2").alias("__2"), "dropped"), ["__1", "__2"], "left")
-    lines = F.split("text", "\n")
-    kept = F.transform(F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("dropped", s["i"])), lambda s: s["x"])
-    text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    out = marked.withColumns({"n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"), "n_dropped": F.when(F.col("dropped").isNull(), 0).otherwise(F.size("dropped")).cast("long")})
-    out = out.withColumn("text", text)
+    drops = common.stored(dropped_lines(docs, min_docs), "lines-dropped").select(F.col("k1").alias("__1"), F.col("k2").alias("__2"), F.col("dropped").alias("__drop"))
+    # texts cross the join as lists of lines, so that a line is found by its number
+    cut = docs.withColumns({"__1": k1, "__2": k2, "__lines": F.split("text", "\n")}).drop("text")
+    marked = cut.join(drops, ["__1", "__2"], "left")
+    left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.coalesce("__drop", F.expr("cast(array() as array<int>)")))
+    text = F.when(F.col("__lines").isNotNull(), F.array_join(F.transform(left, lambda i: F.get("__lines", i)), "\n"))
+    out = marked.withColumns({"text": text, "n_lines": F.when(F.col("__lines").isNull(), 0).otherwise(F.size("__lines")).cast("long"), "n_dropped": F.when(F.col("__drop").isNull(), 0).otherwise(F.size("__drop")).cast("long")})
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns, "n_lines", "n_dropped")

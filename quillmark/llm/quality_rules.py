@@ -21,11 +21,11 @@ from . import common
 
 SYMBOLS = b"#*$%&|<>"
 #: Most characters, as a share of those in words, inside duplicated n-grams.
-DUPLICATE_GRAMS = {5: 0.15, 7: 0.13, 10: 0.10}
+DUPLICATE_GRAMS = {5: 0.30, 7: 0.28, 10: 0.26}
 #: Most characters, as a share of those in words, in lines that repeat earlier ones.
-DUPLICATE_LINE_CHARS = 0.20
+DUPLICATE_LINE_CHARS = 0.25
 #: Most lines that repeat earlier ones, as a share of lines with a word.
-DUPLICATE_LINES = 0.30
+DUPLICATE_LINES = 0.40
 #: Most symbols for each word.
 SYMBOLS_PER_WORD = 0.20
 LEAST_WORDS = 50

@@ -131,8 +131,8 @@ def plain_rules(text):
         seen.add(x)
     out = {"n_words": len(tokens), "word_chars": sum(map(len, tokens)), "n_symbols": sum(c in "#*$%&|<>" for c in text), "n_dup_lines": len(repeats), "n_repeat_words": len(covered(3))}
     failed = len(tokens) < 50 or 100 * len(covered(3)) > 50 * len(tokens)
-    bad = sum(len(re.sub(r"[\x20\x09-\x0D]", "", x)) for x in repeats) > 0.2 * out["word_chars"] or len(repeats) > 0.3 * len(lines) or out["n_symbols"] > 0.2 * len(tokens)
-    for n, share in ((5, 0.15), (7, 0.13), (10, 0.10)):
+    bad = sum(len(re.sub(r"[\x20\x09-\x0D]", "", x)) for x in repeats) > 0.25 * out["word_chars"] or len(repeats) > 0.4 * len(lines) or out["n_symbols"] > 0.2 * len(tokens)
+    for n, share in ((5, 0.30), (7, 0.28), (10, 0.26)):
         bad = bad or sum(len(tokens[i]) for i in covered(n)) > share * out["word_chars"]
     return out | {"base_failed": failed, "kept": not failed and not bad}
 

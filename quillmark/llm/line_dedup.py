@@ -40,17 +40,17 @@ _LINE = ["h1", "h2", "leaf", "tokens", "constants"]
 #: A token with a digit; it can only begin where a token begins.
 _VARIABLE = "(?<![^\\\\x20\\\\x09-\\\\x0D])[^\\\\x20\\\\x09-\\\\x0D0-9]*+[0-9][^\\\\x20\\\\x09-\\\\x0D]*+"
 _MASKED = f"if(text rlike '[0-9]', regexp_replace(text, '{_VARIABLE}', '<*>'), text)"
-_SPACED = "if(masked rlike '[\\\\x09\\\\x0B-\\\\x0D]|\\\\x20\\\\x20', regexp_replace(masked, '[\\\\x20\\\\x09\\\\x0B-\\\\x0D]+', ' '), masked)"
-_TOKENS = "(length(line) - length(replace(line, ' ', '')) + 1)"
+_UNEVEN = " or ".join(f"contains(masked, '{c}')" for c in ("  ", "\t", "\x0b", "\x0c", "\r"))
+_SPACED = f"if({_UNEVEN}, regexp_replace(masked, '[\\\\x20\\\\x09\\\\x0B-\\\\x0D]+', ' '), masked)"
+_TOKENS = "(octet_length(line) - octet_length(replace(line, ' ', '')) + if(line = '', 0, 1))"
 _CONSTANTS = f"({_TOKENS} - if(contains(line, '<*>'), size(filter(split(line, ' '), t -> t = '<*>')), 0))"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """k1, k2, at, line (tokens with single spaces, variable fields masked) of
-    the lines that may be dropped.  Whole texts are masked before they are cut."""
+    all lines.  Whole texts are masked before they are cut."""
     masked = docs.where("text is not null").select("k1", "k2", F.expr(_MASKED).alias("masked")).select("k1", "k2", F.expr(_SPACED).alias("spaced"))
-    lines = masked.select("k1", "k2", F.posexplode(F.split("spaced", "\n")).alias("at", "line")).withColumn("line", F.trim("line"))
-    return lines.where(f"{_TOKENS} >= {LEAST_TOKENS} and {_CONSTANTS} >= {LEAST_CONSTANTS}")
+    return masked.select("k1", "k2", F.posexplode(F.split("spaced", "\n")).alias("at", "line")).withColumn("line", F.trim("line"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -59,7 +59,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def line_hashes(docs: DataFrame) -> DataFrame:
-    """k1, k2, at and hashes and counts of the lines that may be dropped."""
+    """k1, k2, at and hashes and counts of all lines."""
     return _lines(_keyed(docs)).selectExpr(
         "k1", "k2", "at", "xxhash64(line) as h1", "xxhash64(1, line) as h2",
         f"xxhash64({_TOKENS}, substring_index(line, ' ', {DEPTH})) as leaf", f"{_TOKENS} as tokens", f"{_CONSTANTS} as constants",
@@ -75,19 +75,16 @@ def recurring(docs: DataFrame, hashes: DataFrame, min_docs: int = MIN_DOCS) -> D
     mixed = common.stored(kinds.join(leaves, "leaf", "left_semi"), "lines-mixed")
 
     # tokens of the lines in leaves with different lines, from their first documents
-    wanted = mixed.select("h1", "h2", "leaf", F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"))
+    wanted = mixed.select("h1", "h2", "leaf", F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"), "docs")
     holders = wanted.select("k1", "k2").distinct()
     if mixed.count() <= BROADCAST_ROWS:
         wanted, holders = F.broadcast(wanted), F.broadcast(holders)
     found = _lines(_keyed(docs).join(holders, ["k1", "k2"], "left_semi")).selectExpr("k1", "k2", "xxhash64(line) as h1", "xxhash64(1, line) as h2", "line")
-    found = found.join(wanted, ["k1", "k2", "h1", "h2"]).groupBy("h1", "h2", "leaf").agg(F.any_value("line").alias("line"))
-    tokens = found.select("h1", "h2", "leaf", F.posexplode(F.split("line", " ")).alias("place", "token")).join(mixed.select("h1", "h2", "docs"), ["h1", "h2"])
-    tokens = common.stored(tokens, "lines-tokens")
-    support = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support"))
-    fixed = F.when(F.col("support") >= min_docs, F.col("token")).otherwise(F.lit("<*>"))
-    parts = tokens.join(support, ["leaf", "place", "token"]).select("h1", "h2", F.struct("place", fixed.alias("token")).alias("part"))
-    shapes = parts.groupBy("h1", "h2").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    shapes = shapes.selectExpr("h1", "h2", "xxhash64(concat_ws(' ', transform(parts, p -> p.token))) as template", "size(filter(parts, p -> p.token <> '<*>')) as kept")
+    found = found.join(wanted, ["k1", "k2", "h1", "h2"]).groupBy("h1", "h2", "leaf", "docs").agg(F.any_value("line").alias("line"))
+    tokens = common.stored(found.select("h1", "h2", "leaf", "docs", F.posexplode(F.split("line", " ")).alias("place", "token")), "lines-tokens")
+    support = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
+    fixed = tokens.join(support.hint("shuffle_hash"), ["leaf", "place", "token"]).select("h1", "h2", F.xxhash64("place", "token").alias("part"), (F.col("token") != "<*>").cast("int").alias("constant"))
+    shapes = fixed.groupBy("h1", "h2").agg(F.bit_xor("part").alias("template"), F.sum("constant").alias("kept"))
     shapes = common.stored(mixed.join(shapes, ["h1", "h2"]), "lines-shapes").where(f"kept >= {LEAST_CONSTANTS} and kept >= {CONSTANT_SHARE} * constants")
     templates = shapes.groupBy("leaf", "template").agg(F.sum("docs").alias("total"), F.min("first").alias("earliest")).where(F.col("total") >= min_docs)
     general = shapes.join(templates, ["leaf", "template"]).select("h1", "h2", F.col("earliest").alias("first"))
@@ -97,9 +94,9 @@ def recurring(docs: DataFrame, hashes: DataFrame, min_docs: int = MIN_DOCS) -> D
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(k1, k2, dropped): the numbers, from 0, of each row's lines to drop."""
-    hashes = common.stored(line_hashes(docs), "lines-hashes")
+    hashes = common.stored(line_hashes(docs), "lines-hashes").where(f"tokens >= {LEAST_TOKENS} and constants >= {LEAST_CONSTANTS}")
     again = common.stored(recurring(docs, hashes, min_docs), "lines-recurring")
-    hits = hashes.select("k1", "k2", "at", "h1", "h2").join(again, ["h1", "h2"]).distinct()  # repeated rows have the same lines
+    hits = hashes.select("k1", "k2", "at", "h1", "h2").join(again.hint("shuffle_hash"), ["h1", "h2"]).distinct()  # repeated rows have the same lines
     earlier = Window.partitionBy("k1", "k2", "h1", "h2").orderBy("at")
     hits = hits.withColumn("n", F.row_number().over(earlier)).where("n > 1 or k1 <> f1 or k2 <> f2")
     return hits.groupBy("k1", "k2").agg(F.collect_set("at").alias("dropped"))
@@ -109,7 +106,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The documents without the dropped lines, and n_lines and n_dropped;
     n_chars, if there, follows the text."""
     k1, k2 = common.row_key(docs)
-    drops = common.stored(dropped_lines(docs, min_docs), "lines-dropped").select(F.col("k1").alias("__1"), F.col("k2").alias("__2"), F.col("dropped").alias("__drop"))
+    drops = common.stored(dropped_lines(docs, min_docs), "lines-dropped").select(F.col("k1").alias("__1"), F.col("k2").alias("__2"), F.col("dropped").alias("__drop")).hint("shuffle_hash")
     # texts cross the join as lists of lines, so that a line is found by its number
     cut = docs.withColumns({"__1": k1, "__2": k2, "__lines": F.split("text", "\n")}).drop("text")
     marked = cut.join(drops, ["__1", "__2"], "left")

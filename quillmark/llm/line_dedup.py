@@ -96,9 +96,11 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(k1, k2, dropped): the numbers, from 0, of each row's lines to drop."""
     hashes = common.stored(line_hashes(docs), "lines-hashes").where(f"tokens >= {LEAST_TOKENS} and constants >= {LEAST_CONSTANTS}")
     again = common.stored(recurring(docs, hashes, min_docs), "lines-recurring")
-    hits = hashes.select("k1", "k2", "at", "h1", "h2").join(again.hint("shuffle_hash"), ["h1", "h2"]).distinct()  # repeated rows have the same lines
+    hits = hashes.select("k1", "k2", "at", "h1", "h2").join(again.hint("shuffle_hash"), ["h1", "h2"])
+    # dealt anew by document, so that a very common line doesn't stay in one task
+    hits = hits.repartition("k1", "k2")
     earlier = Window.partitionBy("k1", "k2", "h1", "h2").orderBy("at")
-    hits = hits.withColumn("n", F.row_number().over(earlier)).where("n > 1 or k1 <> f1 or k2 <> f2")
+    hits = hits.withColumn("n", F.rank().over(earlier)).where("n > 1 or k1 <> f1 or k2 <> f2")
     return hits.groupBy("k1", "k2").agg(F.collect_set("at").alias("dropped"))
 
 

@@ -35,41 +35,74 @@ FULL = 0.995
 #: Times that a group's loosely filled sequences are placed anew.
 REPAIRS = 3
 #: Words whose ids a worker remembers.
-MEMORY = 300_000
+MEMORY = 500_000
 
-_TOKENIZERS: dict[str, tuple[object, dict[bytes, bytes]]] = {}
-#: White space before a mark that ends a word changes no token: a letter and a
-#: mark are never in one match of the tokenizer's pattern.
-_MARK = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+_LATIN = re.compile("[^\\W\\d_]+")
 
 
-def _tokenizer(path: str) -> tuple[object, dict[bytes, bytes]]:
-    if path not in _TOKENIZERS:
+class WordIds:
+    """Ids of words.  The tokenizer lower-cases, drops white space and never
+    joins across it, so the stretches of a text between white space are encoded
+    one by one, and the lately used ones are remembered (two generations)."""
+
+    def __init__(self, path: str, memory: int = MEMORY):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        _TOKENIZERS[path] = tokenizer, {}
-    return _TOKENIZERS[path]
-
-
-def encode(path: str, text: bytes, closing: int = CLOSING_ID) -> bytes:
-    """Ids of a text of UTF-8 and the closing id, as little-endian unsigned
-    32-bit integers.  The tokenizer lower-cases, drops white space and never
-    joins across it, so stretches between white space are encoded one by one
-    and remembered."""
-    tokenizer, known = _tokenizer(path)
-    words = _MARK.sub(rb" \1", text.lower()).split()
-    missing = [w for w in set(words) if w not in known]
-    if missing:
-        if len(known) > MEMORY:
-            known.clear()
-            missing = list(set(words))
-        for i in range(0, len(missing), 10_000):
-            part = missing[i : i + 10_000]
-            for word, found in zip(part, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-    return b"".join(map(known.__getitem__, words)) + int(closing).to_bytes(4, "little")
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, number in vocabulary.items():
+            self.ends[number] = token.endswith("</w>")
+        self.memory, self.recent, self.older = memory, {}, {}
+
+    def encode(self, texts: list[bytes], closing: int) -> list[bytes]:
+        """Ids of texts in UTF-8 and the closing id, as little-endian unsigned
+        32-bit integers."""
+        lists = [t.lower().split() for t in texts]
+        words = set().union(*lists)
+        needed = words.difference(self.recent)
+        if len(self.recent) + len(needed) > self.memory:
+            self.older, self.recent, needed = self.recent, {}, words
+        missing = []
+        for word in needed:
+            if (ids := self.older.get(word)) is None:
+                missing.append(word)
+            else:
+                self.recent[word] = ids
+        for i in range(0, len(missing), 20_000):
+            self._learn(missing[i : i + 20_000])
+        last = int(closing).to_bytes(4, "little")
+        return [b"".join(map(self.recent.__getitem__, w)) + last for w in lists]
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain, other = [], []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            # letters up to U+024F stay letters in lower case: one match, one word end
+            (plain if text[-1] < "\u0250" and max(text) < "\u0250" and "\u0130" not in text and _LATIN.fullmatch(text) else other).append((word, text))
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(t for _, t in plain)], add_special_tokens=False)[0].ids, "<u4")
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) == len(plain):
+                raw, at = ids.tobytes(), 0
+                for (word, _), stop in zip(plain, stops, strict=True):
+                    self.recent[word] = raw[at:stop]
+                    at = stop
+            else:
+                other += plain
+        for (word, _), found in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False), strict=True):
+            self.recent[word] = np.array(found.ids, "<u4").tobytes()
+
+
+_LOADED: dict[str, WordIds] = {}
+
+
+def encode(path: str, texts: list[bytes], closing: int = CLOSING_ID) -> list[bytes]:
+    """Ids of texts by the tokenizer in a file, which a process loads once."""
+    if path not in _LOADED:
+        _LOADED[path] = WordIds(path)
+    return _LOADED[path].encode(texts, closing)
 
 
 def encode_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, closing: int = CLOSING_ID) -> DataFrame:
@@ -81,8 +114,8 @@ def encode_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY
         for batch in batches:
             for i, j, data, offsets in common.text_chunks(batch["text"]):
                 raw, out = data.tobytes(), []
-                for doc_id, a, b in zip(batch["doc_id"].slice(i, j - i).to_pylist(), offsets[:-1], offsets[1:], strict=True):
-                    ids = encode(tokenizer_path, raw[a:b], closing)
+                coded = encode(tokenizer_path, [raw[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], closing)
+                for doc_id, ids in zip(batch["doc_id"].slice(i, j - i).to_pylist(), coded, strict=True):
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         out.append((doc_id, k, at // 4, len(part) // 4, part))

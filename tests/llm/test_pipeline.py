@@ -15,7 +15,7 @@ def test_pipeline_against_plain_stages(spark, docs):
     mine = {}
     for r in sorted(out, key=lambda r: (r.doc_id, r.piece)):
         mine[r.doc_id] = mine.get(r.doc_id, b"") + bytes(r.ids)
-    assert mine == {i: packing.encode(corpus_pipeline.PIECES, t.encode()) for i, t in rows.items()}
+    assert mine == {i: packing.encode(corpus_pipeline.PIECES, [t.encode()])[0] for i, t in rows.items()}
 
 
 def test_stages_keep_columns_and_take_odd_rows(spark, odd, empty):

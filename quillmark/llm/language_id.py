@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Most documents of a language that the fit takes.
-SAMPLE = 2_000
+SAMPLE = 1_000
+#: Sampled rows up to which they are broadcast.
+BROADCAST_ROWS = 300_000
 #: Tasks that count a language's sample.
 SHARES = 8
 BUCKETS = 1 << 16
@@ -80,7 +82,9 @@ def train(docs: DataFrame, allowed: Column, sample: int = SAMPLE) -> Model:
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id")
     ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & allowed).select(F.col("doc_id").cast("long").alias("doc_id"), "lang")
     ids = ids.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= sample).select("doc_id", "lang").distinct()
-    # a language's share of this list is bounded by ``sample``
+    ids = common.stored(ids, "language-sample")
+    if ids.count() <= BROADCAST_ROWS:  # ``sample`` for each language
+        ids = F.broadcast(ids)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").join(ids, ["doc_id", "lang"]).withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)))
 
     def count(table: pa.Table) -> pa.Table:

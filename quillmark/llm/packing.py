@@ -16,8 +16,10 @@ empty result.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -35,17 +37,21 @@ FULL = 0.995
 #: Times that a group's loosely filled sequences are placed anew.
 REPAIRS = 3
 #: Words whose ids a worker remembers.
-MEMORY = 500_000
+MEMORY = 1_000_000
 
-_LATIN = re.compile("[^\\W\\d_]+")
+_EXOTIC = re.compile("[\u0130\u0250-\U0010ffff]")
+#: Bytes of text that are encoded together.
+TOGETHER = 1 << 18
 
 
 class WordIds:
     """Ids of words.  The tokenizer lower-cases, drops white space and never
     joins across it, so the stretches of a text between white space are encoded
-    one by one, and the lately used ones are remembered (two generations)."""
+    one by one and remembered.  When the memory is full, new ones are encoded
+    anew each time; it is emptied when most words of a batch are new."""
 
     def __init__(self, path: str, memory: int = MEMORY):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -54,45 +60,43 @@ class WordIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
-        self.memory, self.recent, self.older = memory, {}, {}
+        self.memory, self.known = memory, {}
 
     def encode(self, texts: list[bytes], closing: int) -> list[bytes]:
         """Ids of texts in UTF-8 and the closing id, as little-endian unsigned
         32-bit integers."""
         lists = [t.lower().split() for t in texts]
-        words = set().union(*lists)
-        needed = words.difference(self.recent)
-        if len(self.recent) + len(needed) > self.memory:
-            self.older, self.recent, needed = self.recent, {}, words
-        missing = []
-        for word in needed:
-            if (ids := self.older.get(word)) is None:
-                missing.append(word)
-            else:
-                self.recent[word] = ids
+        words = list(set().union(*lists))
+        here = dict(zip(words, map(self.known.get, words), strict=True))  # small, so that lookups stay in a CPU's cache
+        missing = [w for w, ids in here.items() if ids is None]
+        if len(self.known) + len(missing) > self.memory and 2 * len(missing) > len(words):
+            self.known = {}  # the texts have changed
+        learned: dict[bytes, bytes] = {}
         for i in range(0, len(missing), 20_000):
-            self._learn(missing[i : i + 20_000])
+            self._learn(missing[i : i + 20_000], learned)
+        here.update(learned)
+        if len(self.known) + len(learned) <= self.memory:
+            self.known.update(learned)
         last = int(closing).to_bytes(4, "little")
-        return [b"".join(map(self.recent.__getitem__, w)) + last for w in lists]
-
-    def _learn(self, words: list[bytes]) -> None:
-        plain, other = [], []
-        for word in words:
-            text = word.decode("utf-8", "replace")
-            # letters up to U+024F stay letters in lower case: one match, one word end
-            (plain if text[-1] < "\u0250" and max(text) < "\u0250" and "\u0130" not in text and _LATIN.fullmatch(text) else other).append((word, text))
-        if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(t for _, t in plain)], add_special_tokens=False)[0].ids, "<u4")
+        return [b"".join(map(here.__getitem__, w)) + last for w in lists]
+
+    def _learn(self, words: list[bytes], known: dict[bytes, bytes]) -> None:
+        texts = b" ".join(words).decode("utf-8", "replace").split(" ")
+        # letters up to U+024F stay letters in lower case: one match, one word end
+        plain = [t.isalpha() for t in texts]
+        if _EXOTIC.search(" ".join(texts)):
+            plain = [p and not _EXOTIC.search(t) for p, t in zip(plain, texts, strict=True)]
+        other = list(compress(zip(words, texts, strict=True), [not p for p in plain]))
+        if any(plain):
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(compress(texts, plain))], add_special_tokens=False)[0].ids, "<u4")
             stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(stops) == len(plain):
-                raw, at = ids.tobytes(), 0
-                for (word, _), stop in zip(plain, stops, strict=True):
-                    self.recent[word] = raw[at:stop]
-                    at = stop
+            if len(stops) == sum(plain):
+                raw = ids.tobytes()
+                known.update(zip(compress(words, plain), [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)], strict=True))
             else:
-                other += plain
+                other = list(zip(words, texts, strict=True))
         for (word, _), found in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False), strict=True):
-            self.recent[word] = np.array(found.ids, "<u4").tobytes()
+            known[word] = np.array(found.ids, "<u4").tobytes()
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -112,7 +116,7 @@ def encode_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, offsets in common.text_chunks(batch["text"]):
+            for i, j, data, offsets in common.text_chunks(batch["text"], TOGETHER):
                 raw, out = data.tobytes(), []
                 coded = encode(tokenizer_path, [raw[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], closing)
                 for doc_id, ids in zip(batch["doc_id"].slice(i, j - i).to_pylist(), coded, strict=True):

@@ -1,0 +1,143 @@
+"""Models behind protocols: layout, OCR, text and vision.
+
+Offline defaults are pure functions, so that plans run anywhere and repeat.
+A provider is made once in each Python worker and called in Arrow batches;
+answers can be kept by prompt in a table, so that retried tasks and later runs
+don't ask again."""
+
+from __future__ import annotations
+
+import json
+import random
+import re
+from collections.abc import Callable, Iterator
+from typing import Protocol
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+class TextModel(Protocol):
+    def generate(self, prompt: str, system: str = "", temperature: float | None = None, max_tokens: int = 2048) -> str: ...
+
+
+class Reader(Protocol):
+    """OCR of image bytes."""
+
+    def read(self, content: bytes) -> str: ...
+
+
+class Offline:
+    """Answers nothing; every caller has a rule to fall back on."""
+
+    def generate(self, prompt: str, system: str = "", temperature: float | None = None, max_tokens: int = 2048) -> str:
+        return ""
+
+    def read(self, content: bytes) -> str:
+        return "unknown"
+
+
+class HttpChat:
+    """Chat completions over HTTP (the address is the caller's), with retries
+    on 408, 429, 5xx and connection errors."""
+
+    def __init__(self, url: str, model: str, key: str = "", temperature: float = 0.3, timeout: float = 120, retries: int = 16):
+        self.url, self.model, self.key, self.temperature, self.timeout, self.retries = url, model, key, temperature, timeout, min(retries, 30)
+
+    def generate(self, prompt: str, system: str = "", temperature: float | None = None, max_tokens: int = 2048) -> str:
+        import time
+        import urllib.error
+        import urllib.request
+
+        messages = [*([{"role": "system", "content": system}] if system else []), {"role": "user", "content": prompt}]
+        body = json.dumps({"model": self.model, "messages": messages, "temperature": self.temperature if temperature is None else temperature, "max_tokens": max_tokens}).encode()
+        for attempt in range(self.retries + 1):
+            try:
+                request = urllib.request.Request(self.url, body, {"Content-Type": "application/json", "Authorization": f"Bearer {self.key}"})
+                with urllib.request.urlopen(request, timeout=self.timeout) as answer:
+                    return answer_text(json.load(answer))
+            except urllib.error.HTTPError as error:
+                if error.code not in (408, 429) and error.code < 500:
+                    return ""
+            except (urllib.error.URLError, TimeoutError):
+                pass
+            time.sleep(retry_delay(attempt))
+        return ""
+
+
+def retry_delay(attempt: int, cap: float = 60) -> float:
+    return min(cap, 1.5**attempt + random.uniform(0, 0.5))
+
+
+def answer_text(answer: dict) -> str:
+    """Text of a chat answer: a string, or the texts of a list; else its reasoning."""
+    message = (answer.get("choices") or [{}])[0].get("message") or {}
+    content = message.get("content")
+    if isinstance(content, list):
+        content = "".join(p.get("text", "") for p in content if isinstance(p, dict))
+    return (content or message.get("reasoning_content") or "").strip()
+
+
+def extract_json(text: str) -> dict | None:
+    """The object in an answer: without a fence, whole or the first that parses."""
+    text = re.sub(r"^\s*```[a-zA-Z]*\n?|```\s*$", "", text)
+    decoder = json.JSONDecoder()
+    at = text.find("{")
+    while at >= 0:
+        try:
+            return decoder.raw_decode(text, at)[0]
+        except ValueError:
+            at = text.find("{", at + 1)
+    return None
+
+
+def summary_of(payload: dict, most: int = 100, keywords: int = 5) -> tuple[str, list[str]]:
+    """Summary and keywords of a payload, under the names that models give them."""
+    summary = next((str(payload[k]).strip() for k in ("summary", "description", "abstract") if payload.get(k)), "")
+    words = next((payload[k] for k in ("keywords", "key_words", "tags") if payload.get(k)), [])
+    words = re.split("[,，;、]", words) if isinstance(words, str) else words
+    return summary[:most], [str(w).strip() for w in words if str(w).strip()][:keywords]
+
+
+def figure_record(payload: dict) -> dict:
+    """A figure description with all keys; lists are lists, confidence is within 0 and 1."""
+    texts = ("image_id", "doc_id", "section", "image_type", "title", "summary", "retrieval_text", "ocr_text")
+    lists = ("keywords", "entities", "uncertainties")
+    out = {k: str(payload.get(k) or "unknown") for k in texts}
+    out |= {k: [str(v) for v in payload[k]] if isinstance(payload.get(k), list) else ([str(payload[k])] if payload.get(k) else []) for k in lists}
+    try:
+        out["confidence"] = min(1.0, max(0.0, float(payload.get("confidence") or 0)))
+    except (TypeError, ValueError):
+        out["confidence"] = 0.0
+    return out
+
+
+def answers(prompts: DataFrame, provider: Callable[[], TextModel] = Offline, known: DataFrame | None = None) -> DataFrame:
+    """key, prompt, answer of prompts (prompt); different ones are asked once,
+    those in ``known`` (key, answer) not at all."""
+    asked = prompts.select("prompt").distinct().withColumn("key", F.sha2("prompt", 256))
+    missing = asked if known is None else asked.join(known.select("key"), "key", "left_anti")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = None
+        for frame in frames:
+            model = model or provider()
+            yield frame.assign(answer=[model.generate(p) for p in frame["prompt"]])[["key", "prompt", "answer"]]
+
+    fresh = missing.select("key", "prompt").mapInPandas(run, "key string, prompt string, answer string")
+    return fresh if known is None else fresh.unionByName(asked.join(known.select("key", "answer"), "key").select("key", "prompt", "answer"))
+
+
+def validated(found: DataFrame, given: DataFrame) -> DataFrame:
+    """Patterns of middling confidence moved by answers (book, text, answer):
+    up 0.2 for furniture, down 0.3 for content."""
+    rows = found.join(given, ["book", "text"], "left")
+    middling = (F.col("confidence") >= 0.35) & (F.col("confidence") < 0.6)
+    step = F.when(F.col("answer").isin("header", "footer", "page_number", "watermark"), 0.2).when(F.col("answer") == "content", -0.3).otherwise(0.0)
+    return rows.withColumn("confidence", F.when(middling, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("confidence") + step))).otherwise(F.col("confidence"))).drop("answer")
+
+
+def setting(given, configured: dict, key: str, default):
+    """The caller's value, else the configured one, else the default."""
+    return given if given is not None else configured.get(key, default)

@@ -37,7 +37,7 @@ FULL = 0.995
 #: Times that a group's loosely filled sequences are placed anew.
 REPAIRS = 3
 #: Words whose ids a worker remembers.
-MEMORY = 1_000_000
+MEMORY = 600_000
 
 _EXOTIC = re.compile("[\u0130\u0250-\U0010ffff]")
 #: Bytes of text that are encoded together.
@@ -195,50 +195,43 @@ def _placed(lengths: np.ndarray, order: np.ndarray, capacity: int) -> np.ndarray
     return where
 
 
-def _assign(pieces: DataFrame, capacity: int, groups: int, level: int) -> DataFrame:
+def _assign(items: DataFrame, capacity: int, groups: int, level: int) -> DataFrame:
+    """uid, length, sequence_id, offset, filled of items (uid, length); filled
+    is the length of all that lies in an item's sequence."""
+
     def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by("uid")
         lengths = table["length"].to_numpy()
-        ids = table["doc_id"].fill_null(-1).to_numpy()
-        order = np.lexsort([table["piece"].to_numpy(), ids, -lengths])
-        where, offset = pack_group(lengths[order], capacity)
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        filled = np.bincount(where, weights=lengths[order]).astype(np.int64)
-        group = table["__group"][0].as_py()
+        where, offset = pack_group(lengths, capacity)
+        filled = np.bincount(where, weights=lengths).astype(np.int64)
         # level, group and number within the group in one long
-        base = (level << 56) | (group << 24)
-        columns = {c: table[c] for c in table.column_names if not c.startswith("__")}
-        columns |= {"sequence_id": pa.array(base + where[back]), "offset": pa.array(offset[back]), "filled": pa.array(filled[where[back]])}
-        return pa.table(columns)
+        base = (level << 56) | (table["group"][0].as_py() << 24)
+        return pa.table({"uid": table["uid"], "length": table["length"], "sequence_id": pa.array(base + where), "offset": pa.array(offset), "filled": pa.array(filled[where])})
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema]
-    dealt = pieces.withColumn("__group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("long"))
-    return dealt.groupBy("__group").applyInArrow(pack, ", ".join([*fields, "sequence_id long", "offset long", "filled long"]))
+    dealt = items.withColumn("group", F.pmod(F.xxhash64("uid"), F.lit(groups)).cast("long"))
+    return dealt.groupBy("group").applyInArrow(pack, "uid long, length long, sequence_id long, offset long, filled long")
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
-    """``pieces`` (doc_id, piece, start, length and what else they carry) with
-    sequence_id and offset."""
-    columns = pieces.columns
-    rest, done = common.stored(pieces, "pack-pieces"), None
+    """``pieces`` (length and whatever they carry) with sequence_id and offset.
+    Only numbers and lengths go through the packing tasks; the pieces, which
+    are numbered once and written, join their places at the end."""
+    whole = common.stored(pieces.withColumn("__uid", F.monotonically_increasing_id()), "pack-pieces")
+    rest, done = whole.select(F.col("__uid").alias("uid"), "length"), None
     n = rest.count()
     for level in range(8):
         groups = max(1, -(-n // group))
-        placed = common.stored(_assign(rest, capacity, groups, level), f"pack-{level}").select(*columns, "sequence_id", "offset", "filled")
-        if groups == 1:
-            settled, left = placed, 0
-        else:
-            full = F.col("filled") >= int(FULL * capacity)
-            settled, again = placed.where(full), placed.where(~full)
-            left = again.count()
-            if left > 0.7 * n:  # little to gain by another round
-                settled, left = placed, 0
-        settled = settled.drop("filled")
+        placed = common.stored(_assign(rest, capacity, groups, level), f"pack-{level}")
+        full = F.col("filled") >= int(FULL * capacity)
+        left = 0 if groups == 1 else placed.where(~full).count()
+        if left > 0.7 * n or level == 7:  # little to gain by another round
+            left = 0
+        settled = (placed.where(full) if left else placed).select("uid", "sequence_id", "offset")
         done = settled if done is None else done.unionByName(settled)
         if not left:
-            return done
-        rest, n = again.select(*columns), left
-    return done.unionByName(_assign(rest, capacity, max(1, -(-n // group)), 8).drop("filled"))
+            break
+        rest, n = placed.where(~full).select("uid", "length"), left
+    return whole.join(done.withColumnRenamed("uid", "__uid"), "__uid").drop("__uid")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, closing: int = CLOSING_ID) -> DataFrame:

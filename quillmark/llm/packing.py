@@ -82,17 +82,21 @@ class WordIds:
 
     def _learn(self, words: list[bytes], known: dict[bytes, bytes]) -> None:
         texts = b" ".join(words).decode("utf-8", "replace").split(" ")
-        # letters up to U+024F stay letters in lower case: one match, one word end
-        plain = [t.isalpha() for t in texts]
+        # letters up to U+024F stay letters in lower case: one match and one word
+        # end, and a comma or full stop after them is a match of its own
+        marked = [t[-1] in ",." and t[:-1].isalpha() for t in texts]
+        plain = [m or t.isalpha() for m, t in zip(marked, texts, strict=True)]
         if _EXOTIC.search(" ".join(texts)):
             plain = [p and not _EXOTIC.search(t) for p, t in zip(plain, texts, strict=True)]
         other = list(compress(zip(words, texts, strict=True), [not p for p in plain]))
         if any(plain):
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(compress(texts, plain))], add_special_tokens=False)[0].ids, "<u4")
-            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(stops) == sum(plain):
-                raw = ids.tobytes()
-                known.update(zip(compress(words, plain), [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)], strict=True))
+            joined = " ".join(f"{t[:-1]} {t[-1]}" if m else t for m, t in compress(zip(marked, texts, strict=True), plain))
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            stops = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            last = np.cumsum(np.array(list(compress(marked, plain)), np.int64) + 1) - 1
+            if len(stops) == last[-1] + 1:
+                raw, cuts = ids.tobytes(), [0, *stops[last].tolist()]
+                known.update(zip(compress(words, plain), [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], strict=True))
             else:
                 other = list(zip(words, texts, strict=True))
         for (word, _), found in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False), strict=True):

@@ -86,7 +86,8 @@ def figures_json(spark: SparkSession, path: str) -> DataFrame:
 def manifest_json(spark: SparkSession, path: str) -> DataFrame:
     """Parts of split manifests; those without a stem or parts are errors."""
     rows = spark.read.schema(MANIFEST).option("multiLine", True).json(path)
-    checked = rows.withColumn("base_stem", F.when((F.length("base_stem") > 0) & (F.size("parts") > 0), F.col("base_stem")).otherwise(F.raise_error(F.lit("manifest without base_stem or parts"))))
+    ok, kind = (F.length("base_stem") > 0) & (F.size("parts") > 0), rows.schema["parts"].dataType
+    checked = rows.withColumn("parts", F.when(ok, F.col("parts")).otherwise(F.raise_error(F.lit("manifest without base_stem or parts")).cast(kind)))
     return checked.select("base_stem", F.posexplode("parts").alias("p", "part")).select("base_stem", (F.col("p") + 1).alias("part_no"), "part.*")
 
 

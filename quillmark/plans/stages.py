@@ -11,9 +11,20 @@ from pyspark.sql import functions as F
 from ..operators import codeblocks, figures, hierarchy, patterns, structure
 
 
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """Rows written to the checkpoint folder (spark.checkpoint.dir; one of our
+    own only where none is set): a stage reads its input several times, and
+    stages composed without a cut would multiply."""
+    context = rows.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints/quillmark")
+    return rows.checkpoint()
+
+
 def clean_lines(lines: DataFrame, base: int = 1, similar: bool = False) -> DataFrame:
     """Page furniture out, headings at their levels, code blocks repaired."""
-    return codeblocks.repaired(hierarchy.rewritten(patterns.clean(lines, similar), base))
+    rows = checkpointed(patterns.clean(lines, similar))
+    return codeblocks.repaired(checkpointed(hierarchy.rewritten(rows, base)))
 
 
 def enrich(lines: DataFrame, described: DataFrame) -> DataFrame:

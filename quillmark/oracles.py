@@ -239,5 +239,5 @@ ORACLE_SQL: dict[str, str] = {
     "label_stats": _ITEMS + " SELECT book, label, CASE WHEN label = 'SECTION_HEADER' THEN coalesce(level, 1) ELSE 0 END AS level, count(*) AS n FROM items GROUP BY ALL",
     "image_index": _ITEMS + " SELECT book, 'fig_' || lpad(CAST(row_number() OVER (PARTITION BY book ORDER BY ord) AS VARCHAR), 4, '0') AS image_id, page_no, CAST(4050 AS DOUBLE) AS area FROM items WHERE label = 'PICTURE'",
     "layout_markdown": _ITEMS + " SELECT book, CAST(row_number() OVER (PARTITION BY book ORDER BY ord) AS INTEGER) AS line_no, CASE label WHEN 'SECTION_HEADER' THEN repeat('#', level) || ' ' || text WHEN 'PICTURE' THEN '<!-- image -->' ELSE text END AS line FROM items WHERE label <> 'PAGE_FOOTER'",
-    "vector_top_k": "WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS query FROM embeddings WHERE vec_id IN (0, 50, 100)), r AS (SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), query) DESC, vec_id) AS rank FROM embeddings, q) SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5",
+    "vector_top_k": "WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS query FROM embeddings WHERE vec_id % 50 = 0), r AS (SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), query), 9) DESC, vec_id) AS rank FROM embeddings, q) SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5",
 }

@@ -185,6 +185,23 @@ def test_stream_indexes_new_documents(spark, tmp_path):
     assert spark.read.parquet(target).count() == 3
 
 
+def test_nearest_vectors_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(search, "QUERIES", 3)
+    monkeypatch.setattr(search, "VECTORS", 7)
+    monkeypatch.setattr(search, "TOGETHER", 2)
+    rng = np.random.default_rng(5)
+    good = {i: rng.standard_normal(8) for i in range(60)} | {i: np.ones(8) for i in range(60, 75)}
+    rows = [(i, v.tolist()) for i, v in good.items()] + [(100, None), (101, []), (102, [0.0] * 8), (103, [float("nan")] * 8), (104, [None, 1.0]), (105, [1.0] * 5), (None, None)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in search.nearest(frame.where("vec_id % 5 = 0").selectExpr("vec_id as query_id", "embedding as query"), frame, 6).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    unit = {i: v / np.linalg.norm(v) for i, v in good.items()}
+    want = {q: dict(enumerate(sorted(unit, key=lambda i: (-round(float(unit[q] @ unit[i]), 9), i))[:6], 1)) for q in unit if q % 5 == 0}
+    assert got == want | {105: {1: 105}}
+    assert search.nearest(frame.limit(0).selectExpr("vec_id as query_id", "embedding as query"), frame).count() == 0
+
+
 def test_hybrid_search(spark):
     keyword = spark.createDataFrame([(1, "a", 1.0), (1, "b", 0.5)], "query_id int, id string, score double")
     vector = spark.createDataFrame([(1, "b", 1.0), (1, "c", 0.2)], "query_id int, id string, score double")

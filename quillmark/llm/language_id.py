@@ -28,6 +28,8 @@ from . import common
 SAMPLE = 1_000
 #: Sampled rows up to which they are broadcast.
 BROADCAST_ROWS = 300_000
+#: Tasks that thin out the documents of a language, by a hash of doc_id.
+SALTS = 64
 #: Tasks that count a language's sample.
 SHARES = 8
 BUCKETS = 1 << 16
@@ -79,9 +81,13 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, n
 def train(docs: DataFrame, allowed: Column, sample: int = SAMPLE) -> Model:
     """Learn from at most ``sample`` documents of each ``lang`` that are ``allowed``."""
     common.small_batches(docs.sparkSession)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id")
+    order = [F.xxhash64("doc_id", F.lit(2)), F.col("doc_id")]
+    dealt, whole = Window.partitionBy("lang", "__salt").orderBy(*order), Window.partitionBy("lang").orderBy(*order)
     ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & allowed).select(F.col("doc_id").cast("long").alias("doc_id"), "lang")
-    ids = ids.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= sample).select("doc_id", "lang").distinct()
+    # a common language is thinned in many tasks before one task chooses
+    ids = ids.withColumn("__salt", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(SALTS)))
+    ids = ids.withColumn("__n", F.row_number().over(dealt)).where(F.col("__n") <= sample)
+    ids = ids.withColumn("__n", F.row_number().over(whole)).where(F.col("__n") <= sample).select("doc_id", "lang").distinct()
     ids = common.stored(ids, "language-sample")
     if ids.count() <= BROADCAST_ROWS:  # ``sample`` for each language
         ids = F.broadcast(ids)

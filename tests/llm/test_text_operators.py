@@ -156,6 +156,13 @@ def test_language_is_right_on_held_out_rows(spark, docs, odd, empty):
     assert {(r.lang_pred, r.score) for r in language_id.predict(odd, nothing).collect()} == {("und", 0.0)}
 
 
+def test_language_sample_does_not_depend_on_salting(docs, monkeypatch):
+    many = language_id.train(docs, F.lit(True), sample=5)
+    monkeypatch.setattr(language_id, "SALTS", 1)
+    one = language_id.train(docs, F.lit(True), sample=5)
+    assert many.languages == one.languages and (many.log_probability == one.log_probability).all()
+
+
 def test_quality_is_right_on_held_out_rows(spark, docs, odd, empty):
     rows = queries.op1_quality_classifier(spark, "/root/testdata/sf0.01").where("held_out").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality is not null"), "doc_id").collect()
     good = [r.score for r in rows if r.quality == 1]

@@ -4,9 +4,12 @@ A filter is a direction of a random product code: the rotated space is cut
 into blocks, each block has a small random code, and a filter takes one code
 word of each.  A vector is list-decoded to all filters whose inner product
 with it exceeds a threshold, without looking at the others.  Vectors meet in
-filters, and pairs are verified by their cosine in double precision.  Both the
-number of filters and the threshold follow the number of different vectors, so
-that a filter holds a bounded number of unrelated ones.
+filters, and pairs are verified by their cosine in double precision.  The
+number of filters and the threshold, from the exact distribution of an inner
+product in that dimension, follow the number of different vectors, so that a
+filter holds a bounded number of unrelated ones.  Codes are added until, of
+drawn pairs just at the cosine, at most ``MISS`` meet in no filter; a random
+rotation makes this hold for any pair, and closer ones are missed less.
 
 Equal vectors are one class.  A filter with many members is cut into blocks,
 and each pair of blocks is a task of bounded size.  A pair is counted only in
@@ -23,7 +26,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from math import ceil
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +36,17 @@ from . import common
 
 COSINE = 0.95
 #: Unrelated vectors that a filter is meant to hold.
-TARGET_BUCKET = 6
+TARGET_BUCKET = 32
 #: Filters that a vector is meant to pass, in each of the independent codes.
 TARGET_PASSED = 7
-CODES = 3
+#: Share of pairs just at the cosine that may meet in no filter, at every size.
+MISS = 0.005
+#: Drawn pairs on which the codes are measured.
+SAMPLE = 4000
+#: Codes that may be needed, by what the first one misses; beyond, filters are made wider.
+MOST_CODES = 16
+#: Dimensions that a block has at least.
+LEAST_BLOCK = 8
 #: Code words of a block from which there is one block more.
 MOST_WORDS = 4096
 #: Members of a filter that one block of a task holds.
@@ -45,27 +54,68 @@ BLOCK = 1024
 ROWS = 4096
 
 
-def plan(n: int) -> dict:
-    """The code for ``n`` different vectors."""
-    share = min(0.25, TARGET_BUCKET / max(n, 32))
-    filters = max(16, ceil(TARGET_PASSED / share))
-    blocks = 2
-    while ceil(filters ** (1 / blocks)) > MOST_WORDS:
-        blocks += 1
-    words = ceil(filters ** (1 / blocks))
-    return {"blocks": blocks, "words": words, "z": NormalDist().inv_cdf(1 - TARGET_PASSED / words**blocks)}
+def threshold(dimension: int, share: float) -> float:
+    """The inner product that ``share`` of all unit vectors exceed with a given one."""
+    if dimension == 1 or share >= 0.5:
+        return 0.0
+    angle = np.linspace(0, np.pi / 2, 200_001)
+    density = np.sin(angle) ** (dimension - 2)
+    within = np.concatenate([[0], np.cumsum(density[1:] + density[:-1])])
+    return float(np.cos(np.interp(share, within / (2 * within[-1]), angle)))
+
+
+def sample_pairs(n: int, dimension: int, cosine: float, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Random pairs of unit vectors at the cosine (in one dimension, equal ones)."""
+    rng = np.random.default_rng([20_412, dimension, seed])
+    a = _unit(rng.standard_normal((n, dimension)))
+    if dimension == 1:
+        return a, a
+    w = rng.standard_normal((n, dimension))
+    return a, cosine * a + np.sqrt(1 - cosine**2) * _unit(w - (w * a).sum(1, keepdims=True) * a)
+
+
+def apart(a: np.ndarray, b: np.ndarray, number: int, p: dict) -> np.ndarray:
+    """The pairs (a[i], b[i]) that share no filter of a code."""
+    met = [np.zeros(0, np.int64)]
+    for i in range(0, len(a), 500):
+        (ra, fa), (rb, fb) = (list_decode(x[i : i + 500], number, p) for x in (a, b))
+        shared = np.intersect1d(np.rec.fromarrays([ra, fa]), np.rec.fromarrays([rb, fb]))
+        met.append(i + np.unique(shared["f0"]))
+    return np.setdiff1d(np.arange(len(a)), np.concatenate(met))
+
+
+def plan(n: int, dimension: int, cosine: float = COSINE) -> dict:
+    """The code for ``n`` different vectors of a dimension."""
+    most_blocks = max(1, dimension // LEAST_BLOCK)
+    share = max(TARGET_BUCKET / max(n, 32), TARGET_PASSED / MOST_WORDS**most_blocks)
+    while True:
+        share = min(share, 0.25)
+        filters = max(16, ceil(TARGET_PASSED / share))
+        blocks = min(2, most_blocks)
+        while ceil(filters ** (1 / blocks)) > MOST_WORDS and blocks < most_blocks:
+            blocks += 1
+        words = ceil(filters ** (1 / blocks))
+        p = {"blocks": blocks, "words": words, "codes": 0, "threshold": threshold(dimension, TARGET_PASSED / words**blocks)}
+        a, b = sample_pairs(SAMPLE, dimension, cosine)
+        while len(a) + 2 * len(a) ** 0.5 > MISS * SAMPLE:  # two standard errors
+            left = apart(a, b, p["codes"], p)
+            a, b, p["codes"] = a[left], b[left], p["codes"] + 1
+            if p["codes"] == 1 and share < 0.25 and len(a) > MISS ** (1 / MOST_CODES) * SAMPLE:
+                break
+        else:
+            return p
+        share *= 2
 
 
 def code(dimension: int, number: int, p: dict) -> tuple[np.ndarray, list[np.ndarray], float]:
     """Rotation, code words of each block, threshold; from a fixed seed."""
     rng = np.random.default_rng([20_411, dimension, number])
     rotation, _ = np.linalg.qr(rng.standard_normal((dimension, dimension)))
-    blocks = min(p["blocks"], dimension)
     books = []
-    for part in np.array_split(np.arange(dimension), blocks):
+    for part in np.array_split(np.arange(dimension), p["blocks"]):
         book = rng.standard_normal((p["words"], len(part)))
         books.append(book / np.linalg.norm(book, axis=1, keepdims=True) * np.sqrt(len(part) / dimension))
-    return rotation, books, p["z"] / np.sqrt(dimension)
+    return rotation, books, p["threshold"]
 
 
 def list_decode(unit: np.ndarray, number: int, p: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -108,8 +158,9 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def memberships(classes: DataFrame, p: dict, kind: str, light: bool) -> DataFrame:
-    """A row for each class and filter that it exceeds; ``light``: only the filter."""
+def memberships(classes: DataFrame, plans: dict[int, dict], kind: str, light: bool) -> DataFrame:
+    """A row for each class and filter that it exceeds; ``light``: only the
+    filter.  ``plans`` has the dimensions of at least two classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,9 +168,12 @@ def memberships(classes: DataFrame, p: dict, kind: str, light: bool) -> DataFram
                 continue
             raws = batch["raw"].to_pylist()
             for dimension, (rows, unit) in _matrix(raws, kind).items():
-                found = [list_decode(unit, k, p) for k in range(CODES)]
+                if dimension not in plans:
+                    continue
+                p = plans[dimension]
+                found = [list_decode(unit, k, p) for k in range(p["codes"])]
                 who = np.concatenate([f[0] for f in found])
-                ids = np.concatenate([f[1] * CODES + k for k, f in enumerate(found)]) * 65_537 + dimension
+                ids = np.concatenate([f[1] for f in found]) * 65_537 + dimension
                 order = np.lexsort([ids, who])
                 who, ids = who[order], ids[order]
                 if light:
@@ -238,10 +292,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     rows = common.stored(vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), "embedding").mapInArrow(raw, "vec_id long, raw binary"), "caps-rows")
     classes = common.stored(rows.where("raw is not null").groupBy("raw").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "caps-classes")
-    p = plan(classes.count())
-    sizes = memberships(classes, p, kind, light=True).groupBy("filter").count()
+    lengths = classes.groupBy((F.length("raw") / np.dtype(kind).itemsize).cast("int").alias("dimension")).count().where("count > 1").collect()
+    plans = {r["dimension"]: plan(r["count"], r["dimension"], cosine) for r in lengths}
+    sizes = memberships(classes, plans, kind, light=True).groupBy("filter").count()
     large = common.stored(sizes.where(F.col("count") > BLOCK).select("filter", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts")), "caps-large")
-    members = memberships(classes, p, kind, light=False)
+    members = memberships(classes, plans, kind, light=False)
     if large.limit(1).count():
         members = members.join(large, "filter", "left").withColumn("side", F.when(F.col("parts").isNull(), 0).otherwise(F.expr("pmod(xxhash64(rep), parts)")).cast("int"))
         other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))

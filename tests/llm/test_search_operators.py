@@ -203,6 +203,25 @@ def test_cap_filters_against_all_pairs(spark, monkeypatch, block):
     assert cap_filters.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_cap_filters_find_pairs_among_20_000(spark):
+    rng = np.random.default_rng(7)
+    a, b = cap_filters.sample_pairs(1000, 64, 0.952, seed=5)
+    x = np.concatenate([a, b, rng.standard_normal((18_000, 64))])
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in cap_filters.near_duplicates(frame).where("vec_id < 2000").collect()}
+    assert sum(got[i] == got[i + 1000] == (1, i) for i in range(1000)) >= 990
+
+
+@pytest.mark.parametrize(("n", "dimension"), [(500, 64), (100_000, 64), (10_000_000, 64), (1_000_000, 3), (100_000, 384)])
+def test_cap_filters_recall_at_planned_sizes(n, dimension):
+    p = cap_filters.plan(n, dimension)
+    a, b = cap_filters.sample_pairs(2000, dimension, 0.95, seed=1)
+    for k in range(p["codes"]):
+        left = cap_filters.apart(a, b, k, p)
+        a, b = a[left], b[left]
+    assert len(a) <= 0.01 * 2000
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(200, 260)] + [(500, i) for i in range(501, 700)] + [(7, 7), (3, 9), (9, 3)]
     got = {r.node: r.component for r in common.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}

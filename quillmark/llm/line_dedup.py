@@ -3,8 +3,11 @@
 Tokens with a digit are variable fields.  The tree has a fixed depth: lines
 part by their number of tokens, then by their leading tokens.  In a leaf, a
 token that fewer than ``min_docs`` documents have at its position becomes a
-variable field too, and what remains is the line's template.  Lines whose
-template recurs in ``min_docs`` documents or more are dropped, except in the
+variable field too, and what remains is the line's template.  With ``near``, at
+any size of the corpus, a line also falls to a line of its leaf that more documents hold (the
+heaviest of those with which it agrees in a quarter of its places) if they
+agree in ``CONSTANT_SHARE`` of its tokens without digits.  Lines whose template
+recurs in ``min_docs`` documents or more are dropped, except in the
 first of these documents (by doc_id), which keeps its first such line.
 
 Lines travel as two 64-bit hashes and a few numbers.  Only lines in leaves that
@@ -32,6 +35,8 @@ LEAST_TOKENS = 3
 LEAST_CONSTANTS = 2
 #: Share of the tokens without digits that a template must keep.
 CONSTANT_SHARE = 0.7
+#: Stretches of a line, one of which agrees with the line that it falls to.
+STRETCHES = 4
 #: Lines to look up again that are broadcast at most (about 60 bytes each).
 BROADCAST_ROWS = 300_000
 
@@ -66,7 +71,7 @@ def line_hashes(docs: DataFrame) -> DataFrame:
     )
 
 
-def recurring(docs: DataFrame, hashes: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def recurring(docs: DataFrame, hashes: DataFrame, min_docs: int = MIN_DOCS, near: bool = False) -> DataFrame:
     """(h1, h2, f1, f2): lines whose template recurs, and the key of the
     template's first document."""
     once = hashes.groupBy("k1", "k2", *_LINE).agg(F.lit(1).alias("one"))
@@ -75,13 +80,13 @@ def recurring(docs: DataFrame, hashes: DataFrame, min_docs: int = MIN_DOCS) -> D
     mixed = common.stored(kinds.join(leaves, "leaf", "left_semi"), "lines-mixed")
 
     # tokens of the lines in leaves with different lines, from their first documents
-    wanted = mixed.select("h1", "h2", "leaf", F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"), "docs")
+    wanted = mixed.select("h1", "h2", "leaf", F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"), "docs", F.col("tokens").alias("n"))
     holders = wanted.select("k1", "k2").distinct()
     if mixed.count() <= BROADCAST_ROWS:
         wanted, holders = F.broadcast(wanted), F.broadcast(holders)
     found = _lines(_keyed(docs).join(holders, ["k1", "k2"], "left_semi")).selectExpr("k1", "k2", "xxhash64(line) as h1", "xxhash64(1, line) as h2", "line")
-    found = found.join(wanted, ["k1", "k2", "h1", "h2"]).groupBy("h1", "h2", "leaf", "docs").agg(F.any_value("line").alias("line"))
-    tokens = common.stored(found.select("h1", "h2", "leaf", "docs", F.posexplode(F.split("line", " ")).alias("place", "token")), "lines-tokens")
+    found = found.join(wanted, ["k1", "k2", "h1", "h2"]).groupBy("h1", "h2", "leaf", "docs", "n").agg(F.any_value("line").alias("line"))
+    tokens = common.stored(found.select("h1", "h2", "leaf", "docs", "n", F.posexplode(F.split("line", " ")).alias("place", "token")), "lines-tokens")
     support = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
     fixed = tokens.join(support.hint("shuffle_hash"), ["leaf", "place", "token"]).select("h1", "h2", F.xxhash64("place", "token").alias("part"), (F.col("token") != "<*>").cast("int").alias("constant"))
     shapes = fixed.groupBy("h1", "h2").agg(F.bit_xor("part").alias("template"), F.sum("constant").alias("kept"))
@@ -89,13 +94,34 @@ def recurring(docs: DataFrame, hashes: DataFrame, min_docs: int = MIN_DOCS) -> D
     templates = shapes.groupBy("leaf", "template").agg(F.sum("docs").alias("total"), F.min("first").alias("earliest")).where(F.col("total") >= min_docs)
     general = shapes.join(templates, ["leaf", "template"]).select("h1", "h2", F.col("earliest").alias("first"))
     plain = kinds.where(F.col("docs") >= min_docs).join(leaves, "leaf", "left_anti").select("h1", "h2", "first")
-    return general.unionByName(plain).select("h1", "h2", F.col("first.k1").alias("f1"), F.col("first.k2").alias("f2"))
-
-
-def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    found = general.unionByName(plain)
+    if near:
+        found = found.unionByName(similar(mixed, tokens, min_docs)).groupBy("h1", "h2").agg(F.min("first").alias("first"))
+    return found.select("h1", "h2", F.col("first.k1").alias("f1"), F.col("first.k2").alias("f2"))
+
+
+def similar(mixed: DataFrame, tokens: DataFrame, min_docs: int) -> DataFrame:
+    """(h1, h2, first): lines that fall to a heavier line of their leaf, and
+    these lines; first is that of all lines that fall to the same one."""
+    stretch = F.expr(f"int({STRETCHES} * place div n)")
+    parts = tokens.groupBy("h1", "h2", "leaf", "docs", stretch.alias("stretch")).agg(F.bit_xor(F.xxhash64("place", "token")).alias("part"))
+    parts = common.stored(parts, "lines-stretches")
+    heaviest = parts.groupBy("leaf", "stretch", "part").agg(F.max(F.struct("docs", F.col("h1").alias("l1"), F.col("h2").alias("l2"))).alias("to"), F.count("*").alias("lines")).where("lines > 1").drop("lines")
+    pairs = parts.join(heaviest, ["leaf", "stretch", "part"]).where("h1 <> to.l1 or h2 <> to.l2").select("h1", "h2", "to").distinct()
+    pairs = pairs.join(tokens.where("token <> '<*>'").select("h1", "h2", "place", "token"), ["h1", "h2"]).select("h1", "h2", "to", "to.l1", "to.l2", "place", "token")
+    same = pairs.join(tokens.select(F.col("h1").alias("l1"), F.col("h2").alias("l2"), "place", "token"), ["l1", "l2", "place", "token"])
+    same = same.groupBy("h1", "h2", "to").agg(F.count("*").alias("kept")).join(mixed.select("h1", "h2", "constants"), ["h1", "h2"])
+    near = same.where(f"kept >= {LEAST_CONSTANTS} and kept >= {CONSTANT_SHARE} * constants").groupBy("h1", "h2").agg(F.max("to").alias("to")).select("h1", "h2", "to.l1", "to.l2")
+    near = common.stored(near, "lines-near")
+    group = near.unionByName(near.select(F.col("l1").alias("h1"), F.col("l2").alias("h2"), "l1", "l2").distinct())
+    whole = group.join(mixed.select("h1", "h2", "docs", "first"), ["h1", "h2"]).groupBy("l1", "l2").agg(F.sum("docs").alias("total"), F.min("first").alias("first")).where(F.col("total") >= min_docs)
+    return group.join(whole, ["l1", "l2"]).select("h1", "h2", "first")
+
+
+def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, near: bool = False) -> DataFrame:
     """(k1, k2, dropped): the numbers, from 0, of each row's lines to drop."""
     hashes = common.stored(line_hashes(docs), "lines-hashes").where(f"tokens >= {LEAST_TOKENS} and constants >= {LEAST_CONSTANTS}")
-    again = common.stored(recurring(docs, hashes, min_docs), "lines-recurring")
+    again = common.stored(recurring(docs, hashes, min_docs, near), "lines-recurring")
     hits = hashes.select("k1", "k2", "at", "h1", "h2").join(again.hint("shuffle_hash"), ["h1", "h2"])
     # dealt anew by document, so that a very common line doesn't stay in one task
     hits = hits.repartition("k1", "k2")
@@ -104,11 +130,11 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return hits.groupBy("k1", "k2").agg(F.collect_set("at").alias("dropped"))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, near: bool = False) -> DataFrame:
     """The documents without the dropped lines, and n_lines and n_dropped;
     n_chars, if there, follows the text."""
     k1, k2 = common.row_key(docs)
-    drops = common.stored(dropped_lines(docs, min_docs), "lines-dropped").select(F.col("k1").alias("__1"), F.col("k2").alias("__2"), F.col("dropped").alias("__drop")).hint("shuffle_hash")
+    drops = common.stored(dropped_lines(docs, min_docs, near), "lines-dropped").select(F.col("k1").alias("__1"), F.col("k2").alias("__2"), F.col("dropped").alias("__drop")).hint("shuffle_hash")
     # texts cross the join as lists of lines, so that a line is found by its number
     cut = docs.withColumns({"__1": k1, "__2": k2, "__lines": F.split("text", "\n")}).drop("text")
     marked = cut.join(drops, ["__1", "__2"], "left")

@@ -288,6 +288,18 @@ def test_line_dedup_against_plain(spark, docs, odd, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_generalises_at_any_size(spark):
+    names, towns = ([f"{x}{chr(97 + i // 10)}{chr(97 + i % 10)}" for i in range(50)] for x in ("name", "town"))
+    rows = [(i, f"the guest at the desk is {names[i // 50]} who came from {towns[i % 50]} today") for i in range(2500)]
+    line = "a footer that many pages of the same site carry at their very end"
+    rows += [(3000 + i, f"own words number{chr(97 + i)} here\n{line}") for i in range(9)]
+    rows += [(4000, line.replace("site", "house")), (4001, line.replace("pages", "leaves")), (4002, "a footer that many people have never read to the end of it all")]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), near=True).collect()}
+    assert sum(got[i].n_dropped for i in range(2500)) == 2499 and got[0].n_dropped == 0
+    assert [got[i].n_dropped for i in range(3000, 3009)] == [0] + [1] * 8
+    assert [got[i].n_dropped for i in (4000, 4001, 4002)] == [1, 1, 0]
+
+
 def test_line_dedup_runs_no_python(spark, docs):
     plan = line_dedup.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

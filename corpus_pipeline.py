@@ -16,7 +16,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines whose template recurs across documents go; documents stay."""
-    return line_dedup.dedup_lines(docs, near=True).select(*docs.columns)
+    return line_dedup.dedup_lines(docs, near=True, short=True).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

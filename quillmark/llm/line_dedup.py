@@ -13,8 +13,10 @@ first of these documents (by doc_id), which keeps its first such line.
 Lines travel as two 64-bit hashes and a few numbers.  Only lines in leaves that
 hold different lines are looked up again for their tokens, one copy of each.
 
-Edge cases: null texts stay null, empty ones empty; lines with fewer than
-``LEAST_TOKENS`` tokens or ``LEAST_CONSTANTS`` fixed ones are never dropped;
+Lines with fewer than ``LEAST_TOKENS`` tokens or ``LEAST_CONSTANTS`` fixed ones
+have no template; with ``short`` they go where they recur exactly, digits too.
+
+Edge cases: null texts stay null, empty ones empty; blank lines are never dropped;
 rows that repeat another row (doc_id and text) get the same decision; rows
 without a doc_id come first in the order; extra columns pass through; an empty
 table gives an empty result.
@@ -71,6 +73,20 @@ def line_hashes(docs: DataFrame) -> DataFrame:
     )
 
 
+def short_lines(docs: DataFrame, hashes: DataFrame) -> DataFrame:
+    """k1, k2, at, h1, h2 of the lines that are too short for a template.
+    Those with variable fields are hashed as they stand."""
+    few = f"tokens > 0 and (tokens < {LEAST_TOKENS} or constants < {LEAST_CONSTANTS})"
+    plain = hashes.where(f"{few} and constants = tokens").select("k1", "k2", "at", "h1", "h2")
+    wanted = common.stored(hashes.where(f"{few} and constants < tokens").select("k1", "k2", "at"), "lines-marked")
+    holders = wanted.select("k1", "k2").distinct()
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted, holders = F.broadcast(wanted), F.broadcast(holders)
+    raw = _keyed(docs).join(holders, ["k1", "k2"], "left_semi").select("k1", "k2", F.posexplode(F.split("text", "\n")).alias("at", "text")).join(wanted, ["k1", "k2", "at"], "left_semi")
+    raw = raw.selectExpr("k1", "k2", "at", "trim(regexp_replace(text, '[\\x20\\x09\\x0B-\\x0D]+', ' ')) as raw")
+    return plain.unionByName(raw.selectExpr("k1", "k2", "at", "xxhash64(2, raw) as h1", "xxhash64(3, raw) as h2"))
+
+
 def recurring(docs: DataFrame, hashes: DataFrame, min_docs: int = MIN_DOCS, near: bool = False) -> DataFrame:
     """(h1, h2, f1, f2): lines whose template recurs, and the key of the
     template's first document."""
@@ -118,11 +134,19 @@ def similar(mixed: DataFrame, tokens: DataFrame, min_docs: int) -> DataFrame:
     return group.join(whole, ["l1", "l2"]).select("h1", "h2", "first")
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, near: bool = False) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, near: bool = False, short: bool = False) -> DataFrame:
     """(k1, k2, dropped): the numbers, from 0, of each row's lines to drop."""
-    hashes = common.stored(line_hashes(docs), "lines-hashes").where(f"tokens >= {LEAST_TOKENS} and constants >= {LEAST_CONSTANTS}")
-    again = common.stored(recurring(docs, hashes, min_docs, near), "lines-recurring")
-    hits = hashes.select("k1", "k2", "at", "h1", "h2").join(again.hint("shuffle_hash"), ["h1", "h2"])
+    every = common.stored(line_hashes(docs), "lines-hashes")
+    hashes = every.where(f"tokens >= {LEAST_TOKENS} and constants >= {LEAST_CONSTANTS}")
+    again = recurring(docs, hashes, min_docs, near)
+    lines = hashes.select("k1", "k2", "at", "h1", "h2")
+    if short:
+        few = common.stored(short_lines(docs, every), "lines-short")
+        kinds = few.select("k1", "k2", "h1", "h2").distinct().groupBy("h1", "h2").agg(F.count("*").alias("docs"), F.min(F.struct("k1", "k2")).alias("first")).where(F.col("docs") >= min_docs)
+        again = again.unionByName(kinds.select("h1", "h2", F.col("first.k1").alias("f1"), F.col("first.k2").alias("f2")))
+        lines = lines.unionByName(few)
+    again = common.stored(again, "lines-recurring")
+    hits = lines.join(again.hint("shuffle_hash"), ["h1", "h2"])
     # dealt anew by document, so that a very common line doesn't stay in one task
     hits = hits.repartition("k1", "k2")
     earlier = Window.partitionBy("k1", "k2", "h1", "h2").orderBy("at")
@@ -130,11 +154,11 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, near: bool = False)
     return hits.groupBy("k1", "k2").agg(F.collect_set("at").alias("dropped"))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, near: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, near: bool = False, short: bool = False) -> DataFrame:
     """The documents without the dropped lines, and n_lines and n_dropped;
     n_chars, if there, follows the text."""
     k1, k2 = common.row_key(docs)
-    drops = common.stored(dropped_lines(docs, min_docs, near), "lines-dropped").select(F.col("k1").alias("__1"), F.col("k2").alias("__2"), F.col("dropped").alias("__drop")).hint("shuffle_hash")
+    drops = common.stored(dropped_lines(docs, min_docs, near, short), "lines-dropped").select(F.col("k1").alias("__1"), F.col("k2").alias("__2"), F.col("dropped").alias("__drop")).hint("shuffle_hash")
     # texts cross the join as lists of lines, so that a line is found by its number
     cut = docs.withColumns({"__1": k1, "__2": k2, "__lines": F.split("text", "\n")}).drop("text")
     marked = cut.join(drops, ["__1", "__2"], "left")

@@ -27,7 +27,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(common.documents(spark, sf_dir), near=True).select("doc_id", "n_lines", "n_dropped", "text")
+    return line_dedup.dedup_lines(common.documents(spark, sf_dir), near=True, short=True).select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

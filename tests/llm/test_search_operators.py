@@ -300,6 +300,13 @@ def test_line_dedup_generalises_at_any_size(spark):
     assert [got[i].n_dropped for i in (4000, 4001, 4002)] == [1, 1, 0]
 
 
+def test_line_dedup_drops_short_exact_repeats(spark):
+    rows = [(1, "Les.\nPage 4\n\n中文没有空格的一段话"), (2, "Les.\n\n Page  4\nPage 5\n7 8 9 1"), (3, "Les.\nLes.\n中文没有空格的一段话\n7 8 9 2"), (4, "Lis.\nPage 6")]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), short=True)
+    assert {r.doc_id: (r.text, r.n_dropped) for r in out.collect()} == {1: (rows[0][1], 0), 2: ("\nPage 5\n7 8 9 1", 2), 3: ("7 8 9 2", 3), 4: (rows[3][1], 0)}
+    assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().executedPlan().toString())
+
+
 def test_line_dedup_runs_no_python(spark, docs):
     plan = line_dedup.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

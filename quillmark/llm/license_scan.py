@@ -97,6 +97,21 @@ def phrase_places(words: list[bytes], phrases: dict[tuple[bytes, ...], str]) ->
     return sorted(out)
 
 
+def best_run(blocks: list, most: float) -> list:
+    """The neighbouring blocks with the most words that lie within ``most``
+    words of the text; the shortest stretch, then the first, on ties."""
+    best, key, size, j = [], (0, 0), 0, 0
+    for i, last in enumerate(blocks):
+        size += last.size
+        while blocks[j].b < last.b + last.size - most:
+            size -= blocks[j].size
+            j += 1
+        new = (size, blocks[j].b - last.b - last.size)
+        if j <= i and new > key:
+            best, key = blocks[j : i + 1], new
+    return best
+
+
 def verify(words: list[bytes], found: list[tuple[int, int, int]], notices: list[tuple[str, list[bytes]]], coverage: float = COVERAGE) -> list[tuple[str, int, int, float]]:
     """(label, first word, last word, share) of spans that hold enough of a
     notice in order; of spans that overlap, the one with the largest share."""
@@ -107,8 +122,10 @@ def verify(words: list[bytes], found: list[tuple[int, int, int]], notices: list[
         high = min(len(words), max(last + 1, first + len(text)) + NEIGHBOURS)
         high = min(high, low + 4 * len(text) + (last - first))
         blocks = [b for b in SequenceMatcher(None, text, words[low:high], autojunk=False).get_matching_blocks() if b.size]
+        # stray words before or after the notice would stretch the span
+        blocks = best_run(blocks, len(text) / coverage)
         share = sum(b.size for b in blocks) / len(text)
-        if share >= coverage and blocks[-1].b + blocks[-1].size - blocks[0].b <= len(text) / coverage:
+        if share >= coverage:
             spans.append((label, low + blocks[0].b, low + blocks[-1].b + blocks[-1].size - 1, share))
     out: list[tuple[str, int, int, float]] = []
     for span in sorted(set(spans), key=lambda s: (-s[3], s[1] - s[2], s[1], s[0])):

@@ -43,6 +43,19 @@ def test_license_notices_are_found_with_changed_words(spark, odd, empty):
     assert license_scan.scan(odd).count() == odd.count() and license_scan.scan(empty).count() == 0
 
 
+@pytest.mark.parametrize("before", ["This file is part of FooBar. It was written in order to show how a small parser of tables can be made with few lines.", "Some other words."])
+def test_license_notices_are_found_after_stray_words(before):
+    notices = [(label, license_scan._words(t.encode())) for label, t in license_scan.NOTICES]
+    number = max(i for i, (label, _) in enumerate(notices) if label == "gpl-3")
+    text = license_scan.NOTICES[number][1]
+    changed = re.sub("(?i)this program", "FooBar", text, count=1)
+    assert changed != text
+    words = license_scan._words(f"{before} {changed} And more words of this file.".encode())
+    start, size = len(license_scan._words(before.encode())), len(license_scan._words(changed.encode()))
+    found = license_scan.verify(words, [(number, start + 4, start + size - 1)], notices)
+    assert [s[0] for s in found] == ["gpl-3"] and found[0][3] >= 0.9 and found[0][2] - found[0][1] < len(notices[number][1]) / 0.8
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",

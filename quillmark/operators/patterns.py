@@ -191,6 +191,32 @@ def removal(lines: DataFrame, found: DataFrame) -> DataFrame:
     return rows.select("book", "doc_id", "line_no", line.alias("line"), reason.alias("reason"))
 
 
+def similarity(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``removal``'s rows, and of those that it keeps, lines as similar as 0.80
+    to a footer's core go; of a long one, what stays beside a known text."""
+    core = F.lower(F.regexp_replace(F.regexp_replace(strip("text"), r"^[ivxlcdmIVXLCDM\d]+\s*", ""), r"\d+", ""))
+    cores = found.where("pattern_type = 'footer'").select("book", core.alias("core")).where("length(core) > 15").groupBy("book").agg(F.array_sort(F.collect_set("core")).alias("cores"))
+    texts = found.select("book", strip("text").alias("v")).union(found.select("book", F.explode("variants").alias("v")).select("book", strip("v")))
+    texts = texts.where("v <> ''").groupBy("book").agg(F.array_sort(F.collect_set("v")).alias("texts"))
+    out = rows.join(cores, "book", "left").join(texts, "book", "left").withColumn("s", strip("line"))
+    out = out.withColumn("norm", F.regexp_replace(F.lower(F.regexp_replace("s", r"\d+", "")), r"\s+", " "))
+    near = F.filter("cores", lambda c: 2 * F.least(F.length("norm"), F.length(c)) >= SIMILAR * (F.length("norm") + F.length(c)))
+    open_ = F.col("reason").isNull() & (F.col("s") != "") & ~F.startswith("s", F.lit("```")) & (F.length("s") < 200)
+
+    @F.pandas_udf("double")
+    def ratio(norm: pd.Series, near: pd.Series) -> pd.Series:
+        return pd.Series([max((SequenceMatcher(None, c, x).ratio() for c in ([] if cs is None else cs)), default=0.0) for x, cs in zip(norm, near, strict=True)], dtype="float64")
+
+    out = out.withColumn("hit", ratio("norm", F.when(open_, near)) >= SIMILAR)
+    beside = F.transform(F.filter("texts", lambda v: F.contains("s", v)), lambda v: strip(F.replace(F.col("s"), v, F.lit(""))))
+    rest = F.get(F.filter(beside, lambda x: F.length(x) > 10), F.lit(0))
+    out = out.withColumn("rest", F.when(F.col("hit") & (F.length("s") > 80), rest))
+    indent = F.repeat(F.lit(" "), F.length("line") - F.length(lstrip("line")))
+    line = F.when(F.col("rest").isNotNull(), F.concat(indent, F.col("rest"))).otherwise(F.col("line"))
+    reason = F.when(F.col("rest").isNotNull(), "inline_footer_partial").when(F.col("hit"), "similarity_match").otherwise(F.col("reason"))
+    return out.select("book", "doc_id", "line_no", line.alias("line"), reason.alias("reason"))
+
+
 def similar_footers(lines: DataFrame, found: DataFrame) -> DataFrame:
     """book, line_no, ratio of lines as similar as 0.80 to a detected footer.
     A length bound comes before the comparison."""
@@ -250,7 +276,8 @@ def clean(lines: DataFrame, similar: bool = False) -> DataFrame:
     """All stages: detect, classify, remove, code furniture, merges, blanks.
     Line numbers stay those of the input."""
     found = removable(classify(detect(lines, similar)))
-    rows = removal(lines, found).where("reason is null or reason = 'inline_footer_partial'").drop("reason")
+    rows = removal(lines, found)
+    rows = (similarity(rows, found) if similar else rows).where("reason is null or reason = 'inline_footer_partial'").drop("reason")
     rows = code_furniture(rows).where("reason is null").drop("reason")
     rows = merged_code_blocks(rows).where("not gone").drop("gone")
     rows = merged_tables(rows).where("not gone").drop("gone")
@@ -259,7 +286,9 @@ def clean(lines: DataFrame, similar: bool = False) -> DataFrame:
 
 def audit(lines: DataFrame, similar: bool = False) -> DataFrame:
     """stage, book, line_no, line, reason of what the first two stages take out."""
-    first = removal(lines, removable(classify(detect(lines, similar))))
+    found = removable(classify(detect(lines, similar)))
+    first = removal(lines, found)
+    first = similarity(first, found) if similar else first
     kept = first.where("reason is null or reason = 'inline_footer_partial'").drop("reason")
     removed, code = first.where("reason is not null"), code_furniture(kept).where("reason is not null")
     return removed.withColumn("stage", F.lit("removed")).unionByName(code.withColumn("stage", F.lit("cleanup")))

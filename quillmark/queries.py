@@ -50,13 +50,13 @@ over_lines("similar_lines", lambda d: _FOUND(patterns.similar_lines(d)))
 over_lines("pattern_dedupe", lambda d: _FOUND(patterns.detect(d, similar=False)))
 over_lines("pattern_classify", lambda d: _FOUND(patterns.classify(patterns.detect(d, similar=False))))
 over_lines("line_removal", lambda d: patterns.removal(d, patterns.removable(patterns.classify(patterns.detect(d, similar=False)))).where("reason is not null").select("book", "line_no", "line", "reason"))
-over_lines("removal_counts", lambda d: patterns.audit(d).groupBy("stage", "reason").agg(F.count("*").alias("n")))
+over_lines("removal_counts", lambda d: patterns.audit(d, similar=True).groupBy("stage", "reason").agg(F.count("*").alias("n")))
 over_lines("similar_footer_removal", lambda d: patterns.similar_footers(d, patterns.classify(patterns.prefixed_footers(d))))
 over_lines("incode_cleanup", lambda d: patterns.code_furniture(d).where("reason is not null").select("book", "line_no", "line", "reason"))
 over_lines("merge_code_blocks", lambda d: patterns.merged_code_blocks(d).where("gone").select("book", "line_no"))
 over_lines("merge_tables", lambda d: patterns.merged_tables(d).where("gone").select("book", "line_no"))
 over_lines("blank_compress", lambda d: patterns.compressed_blanks(d).select("book", "line_no", "line"))
-over_lines("strip_pipeline", lambda d: patterns.clean(d).select("book", "line_no", "line"))
+over_lines("strip_pipeline", lambda d: patterns.clean(d, similar=True).select("book", "line_no", "line"))
 over_lines("strip_stats", lambda d: patterns.clean_stats(d, patterns.compressed_blanks(d)))
 over_lines("heading_numbering", lambda d: hierarchy.numbered(structure.headings(d)).select("book", "line_no", "rule_level", "numbering", "confidence"))
 over_lines("header_pollution", lambda d: hierarchy.polluted(structure.headings(d)).select("book", "line_no", "occurrences", "polluted"))

@@ -206,3 +206,10 @@ def test_hybrid_search(spark):
     keyword = spark.createDataFrame([(1, "a", 1.0), (1, "b", 0.5)], "query_id int, id string, score double")
     vector = spark.createDataFrame([(1, "b", 1.0), (1, "c", 0.2)], "query_id int, id string, score double")
     assert [r.id for r in search.hybrid(keyword, vector).orderBy("rank").collect()] == ["b", "a", "c"]
+
+
+def test_clean_removes_lines_similar_to_a_footer(spark):
+    footer = "Copyright © the friends of old maps"
+    body = "\n".join([*[f"own words of page {chr(97 + i)}\n{footer}" for i in range(8)], "Copyright © the friend of old maps", "the last words"])
+    got = text_of(patterns.clean(lines_of(spark, body), similar=True))["0"]
+    assert "friend" not in got and got.count("own words") == 8 and "the last words" in got

@@ -3,8 +3,10 @@ hashes in numpy, shared storage, and distributed connected components."""
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,31 @@ _STEP = U64(0x100000001B3)
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Send texts to Python workers in batches of a bounded number of rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    """Texts go to Python workers in batches of at most ``ARROW_ROWS`` rows.
+
+    A plan reads this setting of the session when it runs, which is after an
+    operator has returned, so it can't be put back; it is only ever lowered,
+    and all operators here lower it to the same number."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of an operator's own that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        name = f"__{name}"
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> Column:
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,27 +59,65 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir;
-    a folder of our own is set only where that is unset (tests)."""
+    """The folder that driver and executors share, from spark.checkpoint.dir.
+    Only where that is unset and all runs in one process (tests) is it one of
+    our own; on a cluster it must be set."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not folder:
         current = context._jsc.sc().getCheckpointDir()
-        folder = current.get() if current.isDefined() else "/tmp/checkpoints/quillmark"
-        if not current.isDefined():
+        if current.isDefined():
+            folder = current.get()
+        elif context._jsc.sc().isLocal():
+            folder = os.path.join(tempfile.gettempdir(), "checkpoints", "quillmark")
             context.setCheckpointDir(folder)
+        else:
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return folder.rstrip("/")
 
 
+#: Tables written inside open scopes.
+_SCOPES: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here,
     and a lost executor costs a re-read, not a recomputation."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quillmark-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a stored table."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The stored result of ``make``; tables that it stored on the way are
+    deleted once the result is written, and only then."""
+    _SCOPES.append([])
+    try:
+        df = make()
+        path = f"{shared_folder(df.sparkSession)}/quillmark-{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        spark, schema = df.sparkSession, df.schema
+    except BaseException:
+        left = _SCOPES.pop()
+        if _SCOPES:
+            _SCOPES[-1].extend(left)
+        raise
+    for old in _SCOPES.pop():
+        discard(spark, old)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def row_key(df: DataFrame) -> tuple[Column, Column]:
     """Two columns that identify a document row by value.  Rows that agree in
     both are repeats of one another and get equal decisions."""
@@ -185,7 +248,10 @@ def connected_components(edges: DataFrame, name: str = "components", most_rounds
     so that a hub is one row on one side of a join that AQE can split; nothing
     but two counters comes to the driver."""
     pairs = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    pairs = stored(pairs, f"{name}-0")
+    return settled(lambda: _components(stored(pairs, f"{name}-0"), name, most_rounds), f"{name}-settled")
+
+
+def _components(pairs: DataFrame, name: str, most_rounds: int) -> DataFrame:
     state = None
     for round_ in range(1, most_rounds + 1):
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WHITE = r"(?U)[\s\x1c-\x1f]"
+#: The Unicode white space that is stripped.
+WHITE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def col(x: Column | str) -> Column:
@@ -14,15 +15,15 @@ def col(x: Column | str) -> Column:
 
 def strip(x: Column | str) -> Column:
     """Without Unicode white space at both ends."""
-    return rstrip(lstrip(x))
+    return F.btrim(col(x), F.lit(WHITE))
 
 
 def lstrip(x: Column | str) -> Column:
-    return F.regexp_replace(col(x), f"^{_WHITE}+", "")
+    return F.ltrim(col(x), F.lit(WHITE))
 
 
 def rstrip(x: Column | str) -> Column:
-    return F.regexp_replace(col(x), f"{_WHITE}++$", "")
+    return F.rtrim(col(x), F.lit(WHITE))
 
 
 def any_of(x: Column, patterns: list[str]) -> Column:

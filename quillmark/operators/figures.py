@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import windows
-from ..functions.text import basename, squeeze, strip
+from ..functions.paths import relative_path
+from ..functions.text import basename, rstrip, squeeze, strip, without_mark
 
 LINK = r"!\[[^\]]*\]\(([^)]+)\)"
+MARKED = r"!\[([^\]]*)\]\(([^)]+)\)"
 OPENERS = r"^<!-- figure-enrich(:| -->)"
 OPENER, CLOSER = "<!-- figure-enrich -->", "<!-- /figure-enrich -->"
 LEAST_BYTES = 3072
@@ -58,15 +60,19 @@ def evaluated(images: DataFrame, least_bytes: int = LEAST_BYTES, least_area: flo
     return images.withColumn("drop_reasons", F.array_join(reasons, "; ")).withColumn("keep", F.col("drop_reasons") == "")
 
 
-def filter_summary(checked: DataFrame) -> DataFrame:
+def filter_summary(checked: DataFrame, records: DataFrame | None = None) -> DataFrame:
+    """book, matched, kept, dropped; with ``records`` also json, how many there were to match."""
+    if records is not None:
+        total = records.groupBy("book").agg(F.count("*").alias("json"))
+        return total.join(filter_summary(checked), "book", "left").fillna(0, ["matched", "kept", "dropped"])
     return checked.groupBy("book").agg(F.count("*").alias("matched"), F.sum(F.col("keep").cast("long")).alias("kept"), F.sum((~F.col("keep")).cast("long")).alias("dropped"))
 
 
 def breadcrumbs(lines: DataFrame) -> DataFrame:
     """book, line_no, trail at image lines: titles of the headings they stand
     under, joined; code is not left out here, and lines aren't stripped on the left."""
-    rows = lines.withColumn("level", F.length(F.regexp_extract("line", r"^(#{1,6})\s+.+$", 1)))
-    rows = rows.withColumn("title", strip(F.regexp_extract("line", r"^#{1,6}\s+(.+)$", 1)))
+    rows = lines.withColumn("line", rstrip("line")).withColumn("level", F.length(F.regexp_extract("line", r"^(#{1,6})\s+.+$", 1)))
+    rows = rows.withColumn("title", without_mark(F.regexp_extract("line", r"^#{1,6}\s+(.+)$", 1)))
     last = {f"h{k}": F.last(F.when(F.col("level") == k, F.struct("line_no", "title")), True).over(windows.before()) for k in range(1, 7)}
     rows = rows.withColumns(last).where(F.col("line").rlike(LINK))
     # a level's heading counts if it is later than every shallower one
@@ -83,7 +89,7 @@ def figure_context(lines: DataFrame, before: int = BEFORE_CHARS, after: int = AF
 
     Only the lines that can reach into a window of characters are collected."""
     links = image_links(lines, first_only=True).select("book", F.col("line_no").alias("at"), "href", "basename")
-    rows = lines.withColumn("image", F.col("line").rlike(LINK)).withColumn("segment", F.sum(F.col("image").cast("int")).over(windows.order().rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = lines.withColumn("line", rstrip("line")).withColumn("image", F.col("line").rlike(LINK)).withColumn("segment", F.sum(F.col("image").cast("int")).over(windows.order().rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     text = rows.where("not image").withColumn("upto", F.sum(F.length("line") + 1).over(windows.order().rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     joined = lambda x: F.array_join(F.transform(F.array_sort(x), lambda s: s["line"]), "\n")
     marks = rows.where("image").select("book", F.col("line_no").alias("at"), "segment")
@@ -110,15 +116,22 @@ def last_wins(rows: DataFrame, order: str) -> DataFrame:
     return rows.withColumn("n", F.row_number().over(best)).where("n = 1").drop("n")
 
 
+def document_context(trail: Column, before: Column, after: Column, most: int = CONTEXT_CHARS) -> Column:
+    """Headings and text around a figure for a describing model; a mark tells where it was cut."""
+    part = lambda name, x: F.when(F.length(x) > 0, F.concat(F.lit(name), x))
+    text = F.concat_ws("\n\n", part("Headings: ", trail), part("[Before the figure in Markdown]\n", strip(before)), part("[After the figure in Markdown]\n", strip(after)))
+    return F.when(F.length(text) > most, F.concat(F.substring(text, 1, most), F.lit("\n... [context truncated]"))).otherwise(text)
+
+
 def describe_input(kept: DataFrame, context: DataFrame, ocr: DataFrame, most: int = CONTEXT_CHARS) -> DataFrame:
-    """Kept figures with document_context and ocr text for a describing model."""
+    """Kept figures with section, document_context and ocr text for a describing model."""
     c = last_wins(context, "line_no").select("book", "basename", "trail", "context_before", "context_after")
     o = last_wins(ocr, "ord").select("book", "basename", "ocr_text", "ocr_error")
     rows = kept.join(c, ["book", "basename"], "left").join(o, ["book", "basename"], "left")
-    part = lambda name, x: F.when(F.length(x) > 0, F.concat(F.lit(f"{name}:\n"), x))
-    text = F.concat_ws("\n\n", part("Headings", F.col("trail")), part("Before", F.col("context_before")), part("After", F.col("context_after")))
-    read = F.when(F.length("ocr_error") > 0, F.concat(F.lit("ocr_failed: "), "ocr_error")).when(F.length(squeeze(F.coalesce("ocr_text", F.lit("")))) == 0, "unknown").otherwise(squeeze(F.col("ocr_text")))
-    return rows.withColumns({"document_context": F.substring(text, 1, most), "ocr": read})
+    text = document_context(F.col("trail"), F.col("context_before"), F.col("context_after"), most)
+    read = F.when(F.length("ocr_error") > 0, F.concat(F.lit("ocr_failed: "), "ocr_error")).when(F.length(strip(F.coalesce("ocr_text", F.lit("")))) == 0, "unknown").otherwise(F.col("ocr_text"))
+    section = F.coalesce(F.nullif(F.element_at(F.split("trail", " > "), -1), F.lit("")), F.lit("unknown"))
+    return rows.withColumns({"section": section, "document_context": text, "ocr": read})
 
 
 def enrichment_block(title: Column, summary: Column, keywords: Column, ocr: Column, most: int = 1200, most_keywords: int = 10, most_ocr: int = 500) -> Column:
@@ -156,10 +169,21 @@ def injected(lines: DataFrame, figures: DataFrame) -> DataFrame:
     return rows.withColumn("n", F.row_number().over(order)).select("book", "doc_id", F.col("n").alias("line_no"), "line")
 
 
-def relative_links(lines: DataFrame, marker: str = "/output/") -> DataFrame:
-    """Lines with absolute image links cut to what follows ``marker``, and the numbers found and changed."""
-    n = F.size(F.regexp_extract_all("line", F.lit(LINK), F.lit(1)))
-    new = F.regexp_replace("line", rf"(!\[[^\]]*\]\()(?!https?:|data:)/[^)]*?{marker}", "$1")
-    return lines.withColumns({"line": new, "found": n, "changed": (new != F.col("line")).cast("int")})
-
-
+def relative_links(lines: DataFrame, folder: str | Column) -> DataFrame:
+    """Lines whose image links are relative to ``folder`` (that of the text, an
+    absolute path), and the numbers of links found and changed."""
+    folder = F.lit(folder) if isinstance(folder, str) else folder
+    rows = lines.withColumn("links", F.regexp_extract_all("line", F.lit(MARKED), F.lit(0)))
+    href = lambda x: F.regexp_extract(x, MARKED, 2)
+    made = lambda x: F.coalesce(F.concat(F.lit("!["), F.regexp_extract(x, MARKED, 1), F.lit("]("), relative_path(href(x), folder), F.lit(")")), x)
+    rows = rows.withColumn("pairs", F.transform("links", lambda x: F.struct(x.alias("old"), made(x).alias("new"))))
+
+    def step(acc: Column, pair: Column) -> Column:
+        """One link further: what stands before it and the new link are done, what follows is the rest."""
+        at = F.position(pair["old"], acc["rest"])
+        done = F.concat(acc["done"], F.substr(acc["rest"], F.lit(1), at - 1), pair["new"])
+        return F.struct(done.alias("done"), F.substr(acc["rest"], at + F.length(pair["old"])).alias("rest"))
+
+    text = F.aggregate("pairs", F.struct(F.lit("").alias("done"), F.col("line").alias("rest")), step, lambda acc: F.concat(acc["done"], acc["rest"]))
+    changed = F.size(F.filter("pairs", lambda p: p["old"] != p["new"]))
+    return rows.withColumns({"found": F.size("links"), "changed": changed, "line": F.when(F.size("links") > 0, text).otherwise(F.col("line"))}).drop("links", "pairs")

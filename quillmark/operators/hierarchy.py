@@ -59,7 +59,7 @@ def skeleton(found: DataFrame) -> DataFrame:
     """With the nearest numbered heading before and after (level, numbering)."""
     rows = polluted(numbered(found)).withColumn("is_rule", (F.col("confidence") > 0.8) & ~F.col("polluted"))
     mark = F.when(F.col("is_rule"), F.struct(F.col("rule_level").alias("level"), "numbering"))
-    rows = rows.withColumns({"before": F.last(mark, True).over(windows.before()), "after": F.first(mark, True).over(windows.after()), "idx": F.row_number().over(windows.order()) - 1})
+    rows = rows.withColumns({"before": windows.last_known(mark), "after": windows.next_known(mark), "idx": F.row_number().over(windows.order()) - 1})
     return rows.withColumns({"prev_level": F.col("before.level"), "prev_numbering": F.col("before.numbering"), "next_level": F.col("after.level"), "next_numbering": F.col("after.numbering")}).drop("before", "after")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import basename
+from ..functions.text import basename, strip
 
 
 def checked_parts(parts: DataFrame, texts: DataFrame) -> DataFrame:
@@ -42,38 +42,63 @@ def richer_folder(files: DataFrame) -> DataFrame:
 
 
 def copy_map(files: DataFrame) -> DataFrame:
-    """stem, old, new: where each part's asset goes in the one merged folder."""
-    return files.select("stem", F.col("path").alias("old"), F.concat_ws("_", "stem", basename(F.col("path"))).alias("new"))
+    """base_stem, part_no, stem, place, old, new: where each part's asset goes
+    in the one merged folder; files (base_stem, part_no, stem, rank, path)."""
+    new = F.concat(F.col("base_stem"), F.lit("_merged_images/"), F.concat_ws("_", "stem", basename(F.col("path"))))
+    return files.select("base_stem", "part_no", "stem", F.col("rank").alias("place"), F.col("path").alias("old"), new.alias("new"))
+
+
+def bare_path(x: Column) -> Column:
+    """With slashes, without any leading dots and slashes."""
+    return F.regexp_replace(F.replace(x, F.lit("\\"), F.lit("/")), "^[./]+", "")
 
 
 def resolved_paths(records: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Records (stem, ord, image_path) with new_path: by the path, without a
-    leading ./, in the stem's folders, by the name's end, else by position."""
-    plain = F.regexp_replace(F.coalesce("image_path", F.lit("")), "^[./]+", "")
-    rows = records.withColumn("plain", plain).withColumn("base", basename(F.col("image_path")))
-    exact = mapping.select("stem", F.col("old").alias("key"), F.col("new").alias("found"))
-    tries = [F.col("image_path"), F.col("plain"), F.concat(F.col("stem"), F.lit("_images/"), F.col("base")), F.concat(F.col("stem"), F.lit("_artifacts/"), F.col("base"))]
+    """Records (base_stem, part_no, stem, ord, image_path) with new_path: by the
+    bare path, for a bare name in the stem's folders, else by the name in the
+    first part, up to their own, that holds it.  A blank path takes the file at
+    the record's place among its part's; one that nothing resolves stays."""
+    path = F.col("image_path")
+    rows = records.withColumns({"plain": bare_path(path), "name": basename(path), "blank": F.length(strip(F.coalesce(path, F.lit("")))) == 0})
+    alone = ~F.contains("plain", F.lit("/"))
+    tries = [F.col("plain"), *(F.when(alone, F.concat("stem", F.lit(f"_{folder}/"), "plain")) for folder in ("images", "artifacts"))]
+    exact = mapping.groupBy("base_stem", F.col("old").alias("key")).agg(F.max_by("new", "part_no").alias("new"))
     for i, key in enumerate(tries):
-        rows = rows.withColumn("key", key).join(exact.withColumnRenamed("found", f"f{i}"), ["stem", "key"], "left").drop("key")
-    ends = mapping.groupBy("stem", basename(F.col("old")).alias("base")).agg(F.min_by("new", "old").alias("by_end"))
-    order = Window.partitionBy("stem").orderBy("old")
-    places = mapping.select("stem", F.col("new").alias("by_place"), F.row_number().over(order).alias("place"))
-    rows = rows.join(ends, ["stem", "base"], "left").withColumn("place", F.row_number().over(Window.partitionBy("stem").orderBy("ord"))).join(places, ["stem", "place"], "left")
-    return rows.withColumn("new_path", F.coalesce(*(F.col(f"f{i}") for i in range(len(tries))), "by_end", "by_place")).drop("plain", "base", "place", "by_end", "by_place", *(f"f{i}" for i in range(len(tries))))
+        rows = rows.withColumn("key", F.when(~F.col("blank"), key)).join(exact.withColumnRenamed("new", f"f{i}"), ["base_stem", "key"], "left").drop("key")
+    first = F.min_by(F.struct("part_no", "new"), F.struct("part_no", "place")).alias("end")
+    ends = mapping.where(F.contains("old", F.lit("/"))).groupBy("base_stem", basename(F.col("old")).alias("name")).agg(first)
+    places = mapping.select("base_stem", "part_no", "place", F.col("new").alias("by_place"))
+    rows = rows.join(ends, ["base_stem", "name"], "left")
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("base_stem", "part_no").orderBy("ord"))).join(places, ["base_stem", "part_no", "place"], "left")
+    by_end = F.when(~F.col("blank") & (F.col("end.part_no") <= F.col("part_no")), F.col("end.new"))
+    new = F.coalesce(*(F.col(f"f{i}") for i in range(len(tries))), by_end, F.when(F.col("blank"), F.col("by_place")), path)
+    return rows.withColumn("new_path", new).select(*records.columns, "new_path")
 
 
 def path_variants(x: Column) -> Column:
-    return F.array(x, F.concat(F.lit("./"), x))
+    """The ways in which a text may have a path, the longest first."""
+    x = F.replace(x, F.lit("\\"), F.lit("/"))
+    dotted = F.concat(F.lit("./"), x)
+    return F.when(F.startswith(x, F.lit("./")), F.array(dotted, x, F.substring(x, 3, 1 << 30))).otherwise(F.array(dotted, x))
 
 
 def rewritten_paths(texts: DataFrame, mapping: DataFrame) -> DataFrame:
-    """stem, text with old paths replaced, the longest first.  A stem's mapping
-    is bounded by the files of a document."""
-    pairs = mapping.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct((-F.length("old")).alias("order"), "old", "new"))).alias("pairs"))
-    text = F.aggregate("pairs", F.col("text"), lambda acc, p: F.replace(F.replace(acc, F.concat(F.lit("./"), p["old"]), p["new"]), p["old"], p["new"]))
-    return texts.join(pairs, "stem", "left").withColumn("text", F.when(F.col("pairs").isNull(), F.col("text")).otherwise(text)).drop("pairs")
+    """base_stem, text with old paths replaced, the longest first, then those of
+    ``<img src>``, which may have other dots and slashes in front.  A text's
+    mapping is bounded by the files of its parts."""
+    one = mapping.select("base_stem", F.explode(path_variants(F.col("old"))).alias("old"), "new")
+    pairs = one.groupBy("base_stem").agg(F.array_sort(F.collect_list(F.struct((-F.length("old")).alias("order"), "old", "new"))).alias("pairs"))
+    tags = mapping.groupBy("base_stem", "old").agg(F.max_by("new", "part_no").alias("new")).groupBy("base_stem").agg(F.map_from_entries(F.collect_list(F.struct("old", "new"))).alias("tags"))
+    rows = texts.join(pairs, "base_stem", "left").join(tags, "base_stem", "left")
+    rows = rows.withColumn("text", F.when(F.col("pairs").isNull(), F.col("text")).otherwise(F.aggregate("pairs", F.col("text"), lambda acc, p: F.replace(acc, p["old"], p["new"]))))
+    # pieces between tags, and the sources of the tags
+    mark = r"(?i)(<img[^>]+src=[\"'])([^\"']+)([\"'])"
+    sources = F.regexp_extract_all("text", F.lit(mark), F.lit(2))
+    made = F.aggregate(sources, F.col("text"), lambda acc, x: F.when(F.element_at("tags", bare_path(x)).isNull(), acc).otherwise(F.replace(F.replace(acc, F.concat(F.lit('"'), x, F.lit('"')), F.concat(F.lit('"'), F.element_at("tags", bare_path(x)), F.lit('"'))), F.concat(F.lit("'"), x, F.lit("'")), F.concat(F.lit("'"), F.element_at("tags", bare_path(x)), F.lit("'")))))
+    return rows.withColumn("text", F.when(F.col("tags").isNull(), F.col("text")).otherwise(made)).select(*texts.columns)
 
 
 def merged_images(records: DataFrame) -> DataFrame:
-    """Image records of parts as one list; ids get their part's stem."""
-    return records.withColumn("image_id", F.concat_ws("__", "stem", "image_id"))
+    """Image records of parts as one list; ids get their part's stem, blank ones stay."""
+    named = F.length(F.coalesce("image_id", F.lit(""))) > 0
+    return records.withColumn("image_id", F.when(named, F.concat_ws("__", "stem", "image_id")).otherwise(F.col("image_id"))).withColumn("source_part_stem", F.col("stem"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import windows
+from ..functions.storage import checkpointed
 from ..functions.text import any_of, lstrip, normalised, strip
 from .structure import fence_mask
 
@@ -17,7 +18,7 @@ LEAST = 5
 HIGH, MEDIUM = 0.6, 0.35
 CLUSTER = 0.75
 CANDIDATES = 500
-SIMILAR = 0.80
+SIMILAR, DOUBTFUL = 0.80, 0.50
 
 # Fixed values of the rules.
 PAGE_NUMBER = [
@@ -26,6 +27,7 @@ PAGE_NUMBER = [
 ]
 HEADER = r"^#{1,3}\s+.{15,}$"
 FOOTER = ["[©®™]", r"(^|[^0-9\p{L}_])\d{4}([^0-9\p{L}_].*[^0-9\p{L}_]|[^0-9\p{L}_])\d{4}($|[^0-9\p{L}_])", r"(?i)all\s+rights?\s+reserved", "版权|著作权|保留.*权利"]
+PREFIXED = r"^([ivxlcdmIVXLCDM]+|\d{1,4})\s+(.{10,80})$"
 WATERMARK = [r"(?i)(licensed|authorized)\s+(use|to)", r"(?i)downloaded\s+(on|from|at)", r"(?i)restrictions?\s+apply"]
 SENTENCE_ENDS = "[.?!。？！]$"
 STARTERS = [
@@ -65,15 +67,23 @@ def positions(lines: DataFrame, found: DataFrame) -> DataFrame:
     return rows.groupBy("book", "text").agg(F.array_sort(F.collect_list("line_no")).alias("line_numbers"))
 
 
+def _first_texts(rows: DataFrame, groups: DataFrame, text: str, most: int) -> DataFrame:
+    """book, norm, variants: the different ones of a group's first texts.  Only
+    groups that count are looked at again."""
+    nth = F.row_number().over(Window.partitionBy("book", "norm").orderBy("line_no"))
+    some = rows.join(groups.select("book", "norm"), ["book", "norm"], "left_semi").withColumn("nth", nth).where(F.col("nth") <= most)
+    return some.groupBy("book", "norm").agg(F.array_sort(F.collect_set(text)).alias("variants"))
+
+
 def normalised_frequency(lines: DataFrame) -> DataFrame:
-    """Lines that repeat but for numbers; variants: different ones of the first ten."""
+    """Lines that repeat but for numbers, at least max(5, total / 100) times;
+    variants: different ones of the first ten."""
     rows = lines.select("book", "line_no", strip("line").alias("text")).where(F.length("text") > 3).withColumn("norm", normalised(F.col("text"))).where("norm <> text")
-    nth = F.row_number().over(Window.partitionBy("book", "norm").orderBy("line_no"))
-    groups = rows.withColumn("nth", nth).groupBy("book", "norm").agg(
-        F.count("*").alias("count"), F.min("line_no").alias("first_line"), F.min_by("text", "line_no").alias("text"), F.array_sort(F.collect_set(F.when(F.col("nth") <= 10, F.col("text")))).alias("variants")
-    ).join(_totals(lines), "book").where(F.col("count") >= LEAST)
+    groups = rows.groupBy("book", "norm").agg(F.count("*").alias("count"), F.min("line_no").alias("first_line"), F.min_by("text", "line_no").alias("text")).where(F.col("count") >= LEAST)
+    groups = groups.join(_totals(lines), "book").where(F.col("count") >= F.expr("total div 100"))
     confidence = F.least(F.lit(0.85), 0.35 + F.col("count") / F.col("total") * 50 + F.col("count") / 100 * 0.3)
-    return groups.select("book", F.lit(1).alias("seq"), "text", F.lit("normalized").alias("pattern_type"), "count", confidence.alias("confidence"), "first_line", "variants")
+    out = groups.join(_first_texts(rows, groups, "text", 10), ["book", "norm"])
+    return out.select("book", F.lit(1).alias("seq"), "text", F.lit("normalized").alias("pattern_type"), "count", confidence.alias("confidence"), "first_line", "variants")
 
 
 def similar_lines(lines: DataFrame) -> DataFrame:
@@ -109,25 +119,33 @@ def similar_lines(lines: DataFrame) -> DataFrame:
 
 def prefixed_footers(lines: DataFrame) -> DataFrame:
     """Page number and a repeating rest; the most frequent rest represents (first on ties)."""
-    rows = lines.select("book", "line_no", strip("line").alias("full")).where(F.col("full").rlike(r"^([ivxlcdmIVXLCDM]+|\d{1,4})\s+(.{10,80})$"))
-    rows = rows.withColumn("text", F.regexp_extract("full", r"^([ivxlcdmIVXLCDM]+|\d{1,4})\s+(.{10,80})$", 2)).withColumn("norm", F.regexp_replace("text", r"\d+", "{N}"))
+    rows = lines.select("book", "line_no", strip("line").alias("full")).where(F.col("full").rlike(PREFIXED))
+    rows = rows.withColumn("text", F.regexp_extract("full", PREFIXED, 2)).withColumn("norm", F.regexp_replace("text", r"\d+", "{N}"))
     texts = rows.groupBy("book", "norm", "text").agg(F.count("*").alias("n"), F.min("line_no").alias("first"))
     best = texts.groupBy("book", "norm").agg(F.sum("n").alias("count"), F.max_by("text", F.struct("n", -F.col("first"))).alias("text"), F.min("first").alias("first_line"))
-    nth = F.row_number().over(Window.partitionBy("book", "norm").orderBy("line_no"))
-    some = rows.withColumn("nth", nth).where("nth <= 20").groupBy("book", "norm").agg(F.array_sort(F.collect_set("full")).alias("variants"))
-    groups = best.where(F.col("count") >= LEAST).join(some, ["book", "norm"]).join(_totals(lines), "book")
-    return groups.select("book", F.lit(3).alias("seq"), "text", F.lit("footer").alias("pattern_type"), "count", F.least(F.lit(0.8), 0.4 + F.col("count") / F.col("total") * 30).alias("confidence"), "first_line", "variants")
+    groups = best.where(F.col("count") >= LEAST).join(_totals(lines), "book")
+    out = groups.join(_first_texts(rows, groups, "full", 20), ["book", "norm"])
+    return out.select("book", F.lit(3).alias("seq"), "text", F.lit("footer").alias("pattern_type"), "count", F.least(F.lit(0.8), 0.4 + F.col("count") / F.col("total") * 30).alias("confidence"), "first_line", "variants")
 
 
 def deduplicated(found: DataFrame) -> DataFrame:
-    """The pattern of each lower-cased text with the highest confidence, the earlier detector on ties."""
+    """The pattern of each lower-cased text with the highest confidence, the
+    earlier detector on ties."""
     best = Window.partitionBy("book", F.lower(strip("text"))).orderBy(F.desc("confidence"), "seq", "first_line", "text")
     return found.withColumn("n", F.row_number().over(best)).where("n = 1").drop("n")
 
 
+def ordered(found: DataFrame) -> DataFrame:
+    """Patterns with ``place``: by confidence and count, falling, then by detector."""
+    order = Window.partitionBy("book").orderBy(F.desc("confidence"), F.desc("count"), "seq", "first_line", "text")
+    return found.withColumn("place", F.row_number().over(order))
+
+
 def detect(lines: DataFrame, similar: bool = True) -> DataFrame:
+    """Patterns of all detectors (``similar``: with that of similar lines, which
+    compares in Python), one for each text, with their place."""
     parts = [exact_frequency(lines), normalised_frequency(lines), *([similar_lines(lines)] if similar else []), prefixed_footers(lines)]
-    return deduplicated(reduce(lambda a, b: a.unionByName(b), parts))
+    return ordered(deduplicated(reduce(lambda a, b: a.unionByName(b), parts)))
 
 
 def page_number(x: Column) -> Column:
@@ -167,69 +185,63 @@ def _spaced(x: Column) -> Column:
 
 def removal(lines: DataFrame, found: DataFrame) -> DataFrame:
     """Lines with ``reason`` (null: kept): exact text or variant, text but for
-    case and spaces, page number, inline footer.  ``line`` is what stays."""
+    case and spaces, page number, inline footer (the first by place).  ``line``
+    is what stays."""
     exact = found.select("book", strip("text").alias("s")).union(found.select("book", F.explode("variants").alias("v")).select("book", strip("v").alias("s"))).distinct().withColumn("exact", F.lit(True))
     typed = found.where(F.col("pattern_type").isin("footer", "header", "watermark"))
     loose = typed.select("book", _spaced(strip("text")).alias("k")).distinct().withColumn("loose", F.lit(True))
-    pages = found.groupBy("book").agg(F.max(F.col("pattern_type") == "page_number").alias("pages"))
-    long = typed.where((F.col("pattern_type") == "footer") & (F.length(strip("text")) > 20)).groupBy("book").agg(F.array_sort(F.collect_set(_spaced(strip("text")))).alias("footers"))
+    footer = F.when((F.col("pattern_type") == "footer") & (F.length(strip("text")) > 20), F.struct("place", _spaced(strip("text")).alias("f")))
+    known = found.groupBy("book").agg(F.max(F.col("pattern_type") == "page_number").alias("pages"), F.transform(F.array_sort(F.collect_list(footer)), lambda x: x["f"]).alias("footers"))
     rows = lines.withColumn("s", strip("line")).withColumn("k", _spaced(F.col("s")))
-    rows = rows.join(exact, ["book", "s"], "left").join(loose, ["book", "k"], "left").join(pages, "book", "left").join(long, "book", "left")
-    bare = F.regexp_replace("k", r"^([ivxlcdm]+|\d{1,4})?\s*", "")
-    hit = F.get(F.filter("footers", lambda f: F.startswith(bare, f) | F.startswith(F.col("k"), f)), F.lit(0))
-    lead = F.length("k") - F.when(F.startswith(F.col("k"), hit), F.length("k")).otherwise(F.length(bare))
-    rest = strip(F.substr(F.regexp_replace("s", r"\s+", " "), lead + F.length(hit) + F.lit(1)))
-    rows = rows.withColumn("rest", F.when(F.col("footers").isNotNull() & hit.isNotNull(), rest))
+    rows = rows.join(exact, ["book", "s"], "left").join(loose, ["book", "k"], "left").join(known, "book", "left")
+    rows = rows.withColumn("bare", F.regexp_replace("k", r"^([ivxlcdm]+|\d{1,4})?\s*", ""))
+    rows = rows.withColumn("hit", F.when(F.size("footers") > 0, F.get(F.filter("footers", lambda f: F.startswith("bare", f) | F.startswith("k", f)), F.lit(0))))
+    lead = F.length("k") - F.when(F.startswith("k", "hit"), F.length("k")).otherwise(F.length("bare"))
+    rows = rows.withColumn("rest", F.when(F.col("hit").isNotNull(), strip(F.substr(F.regexp_replace("s", r"\s+", " "), lead + F.length("hit") + F.lit(1)))))
     kept = (F.col("s") == "") | F.startswith("s", F.lit("```"))
     reason = (
         F.when(kept, F.lit(None)).when(F.col("exact"), "exact_match").when(F.col("loose"), "regex_pattern")
         .when(F.col("pages") & F.col("s").rlike(r"^([ivxlcdmIVXLCDM]+|\d{1,4})$") & (F.length("s") <= 5), "page_number")
         .when(F.col("rest").isNotNull() & (F.length("rest") <= 10), "inline_footer_removed").when(F.col("rest").isNotNull(), "inline_footer_partial")
     )
+    rows = rows.withColumn("reason", reason)
     indent = F.repeat(F.lit(" "), F.length("line") - F.length(lstrip("line")))
-    line = F.when(reason == "inline_footer_partial", F.concat(indent, F.col("rest"))).otherwise(F.col("line"))
-    return rows.select("book", "doc_id", "line_no", line.alias("line"), reason.alias("reason"))
+    line = F.when(F.col("reason") == "inline_footer_partial", F.concat(indent, F.col("rest"))).otherwise(F.col("line"))
+    return rows.select("book", "doc_id", "line_no", line.alias("line"), "reason")
 
 
-def similarity(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """``removal``'s rows, and of those that it keeps, lines as similar as 0.80
-    to a footer's core go; of a long one, what stays beside a known text."""
+def similarity(rows: DataFrame, found: DataFrame, between: DataFrame | None = None) -> DataFrame:
+    """``removal``'s rows with ratio, the likeness of a line that stayed to the
+    nearest footer's core.  From 0.80 the line goes, unless it is long and holds
+    a known text with more beside it; from 0.50 a model's word decides
+    (``between``: book, line_no of lines that it takes for furniture)."""
     core = F.lower(F.regexp_replace(F.regexp_replace(strip("text"), r"^[ivxlcdmIVXLCDM\d]+\s*", ""), r"\d+", ""))
     cores = found.where("pattern_type = 'footer'").select("book", core.alias("core")).where("length(core) > 15").groupBy("book").agg(F.array_sort(F.collect_set("core")).alias("cores"))
     texts = found.select("book", strip("text").alias("v")).union(found.select("book", F.explode("variants").alias("v")).select("book", strip("v")))
     texts = texts.where("v <> ''").groupBy("book").agg(F.array_sort(F.collect_set("v")).alias("texts"))
-    out = rows.join(cores, "book", "left").join(texts, "book", "left").withColumn("s", strip("line"))
+    out = rows.join(cores, "book", "left").withColumn("s", strip("line"))
     out = out.withColumn("norm", F.regexp_replace(F.lower(F.regexp_replace("s", r"\d+", "")), r"\s+", " "))
-    near = F.filter("cores", lambda c: 2 * F.least(F.length("norm"), F.length(c)) >= SIMILAR * (F.length("norm") + F.length(c)))
     open_ = F.col("reason").isNull() & (F.col("s") != "") & ~F.startswith("s", F.lit("```")) & (F.length("s") < 200)
+    # twice the shorter length bounds what two texts can have in common
+    near = F.filter("cores", lambda c: 2 * F.least(F.length("norm"), F.length(c)) >= DOUBTFUL * (F.length("norm") + F.length(c)))
+    out = out.withColumn("near", F.when(open_, near)).withColumn("compared", F.coalesce(F.size("near") > 0, F.lit(False)))
 
     @F.pandas_udf("double")
     def ratio(norm: pd.Series, near: pd.Series) -> pd.Series:
-        return pd.Series([max((SequenceMatcher(None, c, x).ratio() for c in ([] if cs is None else cs)), default=0.0) for x, cs in zip(norm, near, strict=True)], dtype="float64")
-
-    out = out.withColumn("hit", ratio("norm", F.when(open_, near)) >= SIMILAR)
-    beside = F.transform(F.filter("texts", lambda v: F.contains("s", v)), lambda v: strip(F.replace(F.col("s"), v, F.lit(""))))
-    rest = F.get(F.filter(beside, lambda x: F.length(x) > 10), F.lit(0))
-    out = out.withColumn("rest", F.when(F.col("hit") & (F.length("s") > 80), rest))
-    indent = F.repeat(F.lit(" "), F.length("line") - F.length(lstrip("line")))
-    line = F.when(F.col("rest").isNotNull(), F.concat(indent, F.col("rest"))).otherwise(F.col("line"))
-    reason = F.when(F.col("rest").isNotNull(), "inline_footer_partial").when(F.col("hit"), "similarity_match").otherwise(F.col("reason"))
-    return out.select("book", "doc_id", "line_no", line.alias("line"), reason.alias("reason"))
-
-
-def similar_footers(lines: DataFrame, found: DataFrame) -> DataFrame:
-    """book, line_no, ratio of lines as similar as 0.80 to a detected footer.
-    A length bound comes before the comparison."""
-    cores = found.where((F.col("pattern_type") == "footer") & (F.length(strip("text")) >= 15)).groupBy("book").agg(F.array_sort(F.collect_set(strip("text"))).alias("cores"))
-    rows = lines.select("book", "line_no", strip("line").alias("s")).where((F.length("s") > 10) & (F.length("s") < 200)).join(cores, "book")
-    near = F.filter("cores", lambda c: 2 * F.least(F.length("s"), F.length(c)) >= SIMILAR * (F.length("s") + F.length(c)))
-    rows = rows.select("book", "line_no", "s", near.alias("near")).where(F.size("near") > 0)
-
-    @F.pandas_udf("double")
-    def ratio(s: pd.Series, near: pd.Series) -> pd.Series:
-        return pd.Series([max(SequenceMatcher(None, x.lower(), c.lower()).ratio() for c in cs) for x, cs in zip(s, near, strict=True)])
-
-    return rows.withColumn("ratio", ratio("s", "near")).where(F.col("ratio") >= SIMILAR).select("book", "line_no", F.round("ratio", 6).alias("ratio"))
+        return pd.Series([max((SequenceMatcher(None, c, x).ratio() for c in cs), default=0.0) for x, cs in zip(norm, near, strict=True)], dtype="float64")
+
+    # only the lines that are compared go through Python
+    pairs = out.where("compared").select("book", "norm", "near").distinct().withColumn("ratio", ratio("norm", "near")).select("book", "norm", "ratio")
+    out = out.join(pairs, ["book", "norm"], "left").withColumn("ratio", F.when(F.col("compared"), F.col("ratio")))
+    long = out.where(f"ratio >= {SIMILAR} and length(s) > 80").join(texts, "book")
+    beside = F.exists("texts", lambda v: F.contains("s", v) & (F.length(strip(F.replace("s", v, F.lit("")))) > 10))
+    spared = long.where(beside).select("book", "line_no", F.lit(True).alias("spared"))
+    out = out.join(spared, ["book", "line_no"], "left")
+    reason = F.when((F.col("ratio") >= SIMILAR) & F.col("spared").isNull(), "similarity_match")
+    if between is not None:
+        out = out.join(between.select("book", "line_no", F.lit(True).alias("asked")), ["book", "line_no"], "left")
+        reason = reason.when((F.col("ratio") >= DOUBTFUL) & (F.col("ratio") < SIMILAR) & F.col("asked"), "similarity_match+confirmed")
+    return out.select("book", "doc_id", "line_no", "line", F.coalesce(reason, F.col("reason")).alias("reason"), "ratio")
 
 
 def code_furniture(lines: DataFrame) -> DataFrame:
@@ -246,15 +258,16 @@ def _neighbours(lines: DataFrame) -> DataFrame:
     """With s and the nearest non-blank lines before and after."""
     rows = lines.withColumn("s", strip("line"))
     full = F.when(F.col("s") != "", F.col("s"))
-    return rows.withColumns({"above": F.last(full, True).over(windows.before()), "below": F.first(full, True).over(windows.after())})
+    return rows.withColumns({"above": windows.last_known(full), "below": windows.next_known(full)})
 
 
 def merged_code_blocks(lines: DataFrame) -> DataFrame:
     """Lines with ``gone``: a closing fence, blanks and a bare opening fence in a row."""
     rows = _neighbours(fence_mask(lines)).withColumn("nth", F.sum(F.col("is_fence").cast("int")).over(windows.so_far()))
-    closing = F.col("is_fence") & (F.col("nth") % 2 == 0) & (F.col("s") == "```") & (F.col("below") == "```")
-    opening = F.col("is_fence") & (F.col("nth") % 2 == 1) & (F.col("s") == "```") & (F.col("above") == "```")
-    between = (F.col("s") == "") & (F.col("nth") > 0) & (F.col("nth") % 2 == 0) & (F.col("above") == "```") & (F.col("below") == "```")
+    even, after_fence = (F.col("nth") > 0) & (F.col("nth") % 2 == 0), F.startswith("above", F.lit("```"))
+    closing = F.col("is_fence") & even & (F.col("below") == "```")
+    opening = (F.col("s") == "```") & (F.col("nth") % 2 == 1) & after_fence
+    between = (F.col("s") == "") & even & after_fence & (F.col("below") == "```")
     return rows.withColumn("gone", F.coalesce(closing | opening | between, F.lit(False))).select("book", "doc_id", "line_no", "line", "gone")
 
 
@@ -272,26 +285,38 @@ def compressed_blanks(lines: DataFrame, most: int = 2) -> DataFrame:
     return rows.withColumn("nth", nth).where(~F.col("blank") | (F.col("nth") <= most)).select("book", "doc_id", "line_no", "line")
 
 
-def clean(lines: DataFrame, similar: bool = False) -> DataFrame:
+def clean(lines: DataFrame, similar: bool = True) -> DataFrame:
     """All stages: detect, classify, remove, code furniture, merges, blanks.
-    Line numbers stay those of the input."""
-    found = removable(classify(detect(lines, similar)))
-    rows = removal(lines, found)
-    rows = (similarity(rows, found) if similar else rows).where("reason is null or reason = 'inline_footer_partial'").drop("reason")
-    rows = code_furniture(rows).where("reason is null").drop("reason")
-    rows = merged_code_blocks(rows).where("not gone").drop("gone")
-    rows = merged_tables(rows).where("not gone").drop("gone")
-    return compressed_blanks(rows)
-
-
-def audit(lines: DataFrame, similar: bool = False) -> DataFrame:
-    """stage, book, line_no, line, reason of what the first two stages take out."""
-    found = removable(classify(detect(lines, similar)))
+    Line numbers stay those of the input.  ``similar``: with the detector of
+    similar lines and the removal of lines similar to a footer."""
+    return staged(lines, similar)["clean"]
+
+
+def staged(lines: DataFrame, similar: bool = True) -> dict[str, DataFrame]:
+    """What each stage leaves or takes out: found, removed (with reason),
+    furniture (with reason), merged_code, merged_tables and clean."""
+    lines = checkpointed(lines)
+    found = checkpointed(removable(classify(detect(lines, similar))))
     first = removal(lines, found)
-    first = similarity(first, found) if similar else first
-    kept = first.where("reason is null or reason = 'inline_footer_partial'").drop("reason")
-    removed, code = first.where("reason is not null"), code_furniture(kept).where("reason is not null")
-    return removed.withColumn("stage", F.lit("removed")).unionByName(code.withColumn("stage", F.lit("cleanup")))
+    first = checkpointed(similarity(first, found).drop("ratio") if similar else first)
+    code = code_furniture(first.where("reason is null or reason = 'inline_footer_partial'").drop("reason"))
+    blocks = merged_code_blocks(code.where("reason is null").drop("reason"))
+    tables = merged_tables(blocks.where("not gone").drop("gone"))
+    return {
+        "found": found, "removed": first.where("reason is not null"), "furniture": code.where("reason is not null"), "merged_code": blocks.where("gone"),
+        "merged_tables": tables.where("gone"), "clean": compressed_blanks(tables.where("not gone").drop("gone")),
+    }
+
+
+def audit(lines: DataFrame, similar: bool = True) -> DataFrame:
+    """stage, book, line_no, line, reason of what the stages take out."""
+    stages = staged(lines, similar)
+    shown = {"removed": ("removed", None), "furniture": ("cleanup", None), "merged_code": ("merge", "code_block_merge"), "merged_tables": ("merge", "table_merge_empty")}
+    parts = []
+    for name, (stage, reason) in shown.items():
+        rows = stages[name].withColumn("reason", F.lit(reason)) if reason else stages[name]
+        parts.append(rows.select(F.lit(stage).alias("stage"), "book", "line_no", "line", "reason"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def clean_stats(lines: DataFrame, cleaned: DataFrame) -> DataFrame:

@@ -28,23 +28,28 @@ def headings(lines: DataFrame, depth: int = 6) -> DataFrame:
     return found.where(F.col("level") <= depth)
 
 
-def depth_of(lines: DataFrame) -> DataFrame:
-    """book, size, depth of the index that a book's size asks for."""
+def depth_of(lines: DataFrame, given: int | None = None) -> DataFrame:
+    """book, size, depth of the index: the one given (1 to 6), else what a book's size asks for."""
+    if given is not None and not 1 <= given <= 6:
+        raise ValueError("depth must be from 1 to 6")
     size = (F.sum(F.octet_length("line") + 1) - 1).alias("size")
     depth = F.lit(DEEPEST)
     for most, level in reversed(DEPTHS):
         depth = F.when(F.col("size") < most, level).otherwise(depth)
-    return lines.groupBy("book").agg(size).withColumn("depth", depth)
+    return lines.groupBy("book").agg(size).withColumn("depth", depth if given is None else F.lit(given))
 
 
 def _chunk_lines(lines: DataFrame, depth: int) -> DataFrame:
-    marks = headings(lines, depth).select("book", "line_no", "level", "title")
+    marks = headings(lines, depth or 6).select("book", "line_no", "level", "title")
+    if depth is None:
+        marks = marks.join(depth_of(lines).select("book", "depth"), "book").where("level <= depth").drop("depth")
     joined = lines.join(marks, ["book", "line_no"], "left")
     return joined.withColumn("ordinal", F.count("level").over(windows.so_far())).withColumn("last_line", F.max("line_no").over(windows.whole()))
 
 
-def chunks(lines: DataFrame, depth: int = 4) -> DataFrame:
-    """A chunk from each heading to the next; lines before the first belong to none."""
+def chunks(lines: DataFrame, depth: int | None = 4) -> DataFrame:
+    """A chunk from each heading to the next; lines before the first belong to
+    none.  ``depth``: that of the headings; None: what each book's size asks for."""
     rows = _chunk_lines(lines, depth).where("ordinal > 0")
     parts = rows.groupBy("book", "ordinal").agg(
         F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"), F.max("level").alias("level"), F.max("title").alias("title"),
@@ -95,13 +100,25 @@ def index_stats(parts: DataFrame, keywords: DataFrame) -> DataFrame:
     return parts.groupBy("book").agg(F.count("*").alias("chunks"), short.alias("empty")).join(keywords.groupBy("book").agg(F.countDistinct("keyword").alias("keywords")), "book", "left").fillna(0, ["keywords"])
 
 
-def index_json(lines: DataFrame, depth: int = 4) -> DataFrame:
-    """book, index (JSON): chunks, contents and keyword index of a book."""
+def index_json(lines: DataFrame, depth: int = 4, summaries: DataFrame | None = None) -> DataFrame:
+    """book, index (JSON): chunks, contents, keyword index and counts of a book.
+    ``summaries`` (book, id, summary, keywords) come from a model or a rule; by
+    default chunks have no summary and the words of the offline extractor."""
     parts = chunks(lines, depth)
     words = chunk_keywords(parts)
-    by_chunk = words.groupBy("book", "id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "keyword"))), lambda s: s["keyword"]).alias("keywords"))
-    fields = ["id", "title", "level", "start_line", "end_line", "line_count", "char_count", "content_preview", "keywords"]
-    made = parts.join(by_chunk, ["book", "id"], "left").groupBy("book").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("chunks"))
+    if summaries is None:
+        by_chunk = words.groupBy("book", "id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "keyword"))), lambda s: s["keyword"]).alias("keywords")).withColumn("summary", F.lit(""))
+    else:
+        by_chunk = summaries.select("book", "id", "summary", "keywords")
+        words = by_chunk.select("book", "id", F.explode("keywords").alias("keyword"))
+    fields = ["id", "title", "level", "start_line", "end_line", "line_count", "char_count", "content_preview", "summary", "keywords"]
+    none = F.array().cast("array<string>")
+    rows = parts.join(by_chunk, ["book", "id"], "left").withColumns({"summary": F.coalesce("summary", F.lit("")), "keywords": F.coalesce("keywords", none)})
+    made = rows.groupBy("book").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("chunks"), F.count("*").alias("total_chunks"), F.sum((F.col("summary") == "").cast("long")).alias("without_summary"))
+    sizes = lines.groupBy("book").agg(F.count("*").alias("total_lines"))
     tree = toc(lines, depth).groupBy("book").agg(F.array_sort(F.collect_list(F.struct("ordinal", "parent", "level", "title"))).alias("toc"))
-    terms = keyword_index(words).groupBy("book").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("keyword", F.split("ids", ","))))).alias("keyword_index"))
-    return made.join(tree, "book", "left").join(terms, "book", "left").select("book", F.to_json(F.struct("chunks", "toc", "keyword_index")).alias("index"))
+    terms = keyword_index(words).groupBy("book").agg(F.array_sort(F.collect_list(F.struct("keyword", F.split("ids", ",").alias("ids")))).alias("terms"), F.count("*").alias("total_keywords"))
+    out = made.join(sizes, "book").join(tree, "book", "left").join(terms, "book", "left")
+    meta = F.struct(F.lit(depth).alias("depth"), "total_lines", "total_chunks", F.coalesce("total_keywords", F.lit(0).cast("long")).alias("total_keywords"), "without_summary")
+    terms_of = F.map_from_entries(F.coalesce("terms", F.expr("cast(array() as array<struct<keyword:string,ids:array<string>>>)")))
+    return out.select("book", F.to_json(F.struct(meta.alias("metadata"), "chunks", "toc", terms_of.alias("keyword_index"))).alias("index"))

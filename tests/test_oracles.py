@@ -1,6 +1,7 @@
 """Each query with an oracle gives the rows that DuckDB gives."""
 
 import math
+import os
 from collections import Counter
 from pathlib import Path
 
@@ -9,7 +10,7 @@ import pytest
 
 from quillmark import oracles, queries
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 
 def plain(x):

@@ -11,10 +11,16 @@ filter holds a bounded number of unrelated ones.  Codes are added until, of
 drawn pairs just at the cosine, at most ``MISS`` meet in no filter; a random
 rotation makes this hold for any pair, and closer ones are missed less.
 
+Words and vectors are rounded to integers whose products and sums are exact in
+double precision, so that a vector has the same filters wherever it is decoded.
+Many codes in which a vector passes one filter on average need about half as
+many rows as few codes in which it passes several.
+
 Equal vectors are one class.  A filter with many members is cut into blocks,
 and each pair of blocks is a task of bounded size.  A pair is counted only in
-the first of the filters that it shares; components take one edge for each
-member, not all pairs.
+the first of the filters that it shares, for which the members that have a
+verified pair are decoded again; components take one edge for each member, not
+all pairs.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components,
 and rows with a null vec_id, link with nothing; vectors of different lengths
@@ -25,6 +31,7 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from math import ceil
 
 import numpy as np
@@ -36,22 +43,26 @@ from . import common
 
 COSINE = 0.95
 #: Unrelated vectors that a filter is meant to hold.
-TARGET_BUCKET = 32
+TARGET_BUCKET = 128
 #: Filters that a vector is meant to pass, in each of the independent codes.
-TARGET_PASSED = 7
+TARGET_PASSED = 1
 #: Share of pairs just at the cosine that may meet in no filter, at every size.
 MISS = 0.005
 #: Drawn pairs on which the codes are measured.
 SAMPLE = 4000
 #: Codes that may be needed, by what the first one misses; beyond, filters are made wider.
-MOST_CODES = 16
+MOST_CODES = 48
 #: Dimensions that a block has at least.
 LEAST_BLOCK = 8
-#: Code words of a block from which there is one block more.
-MOST_WORDS = 4096
+#: Code words of a block from which there is one block more, and where there can't be.
+MOST_WORDS, LAST_WORDS = 256, 4096
+#: What unit vectors and code words are multiplied with before they are rounded.
+SCALE = 1 << 20
 #: Members of a filter that one block of a task holds.
 BLOCK = 1024
 ROWS = 4096
+#: Vectors that are decoded together, each against all words of a block.
+DECODED = 1024
 
 
 def threshold(dimension: int, share: float) -> float:
@@ -87,7 +98,7 @@ def apart(a: np.ndarray, b: np.ndarray, number: int, p: dict) -> np.ndarray:
 def plan(n: int, dimension: int, cosine: float = COSINE) -> dict:
     """The code for ``n`` different vectors of a dimension."""
     most_blocks = max(1, dimension // LEAST_BLOCK)
-    share = max(TARGET_BUCKET / max(n, 32), TARGET_PASSED / MOST_WORDS**most_blocks)
+    share = max(TARGET_BUCKET / max(n, 32), TARGET_PASSED / LAST_WORDS**most_blocks)
     while True:
         share = min(share, 0.25)
         filters = max(16, ceil(TARGET_PASSED / share))
@@ -107,34 +118,36 @@ def plan(n: int, dimension: int, cosine: float = COSINE) -> dict:
         share *= 2
 
 
-def code(dimension: int, number: int, p: dict) -> tuple[np.ndarray, list[np.ndarray], float]:
-    """Rotation, code words of each block, threshold; from a fixed seed."""
+@lru_cache(64)
+def code(dimension: int, number: int, blocks: int, words: int) -> list[np.ndarray]:
+    """The words of each block, rotated back into the whole space; from a fixed seed."""
     rng = np.random.default_rng([20_411, dimension, number])
     rotation, _ = np.linalg.qr(rng.standard_normal((dimension, dimension)))
     books = []
-    for part in np.array_split(np.arange(dimension), p["blocks"]):
-        book = rng.standard_normal((p["words"], len(part)))
-        books.append(book / np.linalg.norm(book, axis=1, keepdims=True) * np.sqrt(len(part) / dimension))
-    return rotation, books, p["threshold"]
+    for part in np.array_split(np.arange(dimension), blocks):
+        book = rng.standard_normal((words, len(part)))
+        book = book / np.linalg.norm(book, axis=1, keepdims=True) * np.sqrt(len(part) / dimension)
+        books.append(np.rint(SCALE * (rotation[:, part] @ book.T)))
+    return books
 
 
 def list_decode(unit: np.ndarray, number: int, p: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(row, filter) for all filters that a unit vector exceeds; a partial
-    choice is extended only while the best of the rest can reach the threshold."""
+    """(row, filter) for all filters that a unit vector exceeds, of ``DECODED``
+    vectors at most; a partial choice is extended only while the best of the
+    rest can reach the threshold."""
     n, dimension = unit.shape
-    rotation, books, threshold = code(dimension, number, p)
-    turned = unit @ rotation
-    parts = np.array_split(np.arange(dimension), len(books))
-    scores = [turned[:, part] @ book.T for part, book in zip(parts, books, strict=True)]
+    books, one = code(dimension, number, p["blocks"], p["words"]), float(SCALE) ** 2
+    whole, threshold = np.rint(SCALE * unit), np.rint(p["threshold"] * one)
+    scores = [whole @ book for book in books]
     best = np.array([s.max(1) for s in scores])
     rest = np.concatenate([np.cumsum(best[::-1], 0)[::-1][1:], np.zeros((1, n))])
     rows, total, ids = np.arange(n), np.zeros(n), np.full(n, number, np.int64)
     for b, s in enumerate(scores):
         order = np.argsort(-s, axis=1, kind="stable")
         ranked = np.take_along_axis(s, order, 1)
-        line = (4.0 * np.arange(n)[:, None] - ranked).ravel()  # ascending over all rows
+        line = (4 * one * np.arange(n)[:, None] - ranked).ravel()  # ascending over all rows
         need = threshold - total - rest[b][rows]
-        counts = np.searchsorted(line, 4.0 * rows - np.clip(need, -1.5, 1.5), side="right") - rows * s.shape[1]
+        counts = np.searchsorted(line, 4 * one * rows - np.clip(need, -1.5 * one, 1.5 * one), side="right") - rows * s.shape[1]
         at = np.repeat(np.arange(len(rows)), counts)
         rank = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
         chosen = order[rows[at], rank]
@@ -142,6 +155,22 @@ def list_decode(unit: np.ndarray, number: int, p: dict) -> tuple[np.ndarray, np.
     return rows, ids
 
 
+def all_filters(unit: np.ndarray, p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(row, filter) of all codes, by row, then filter; filters of vectors of
+    other dimensions are other ones."""
+    who, ids = [], []
+    for i in range(0, len(unit), DECODED):
+        for k in range(p["codes"]):
+            rows, found = list_decode(unit[i : i + DECODED], k, p)
+            who.append(rows + i)
+            ids.append(found)
+    if not who:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at, which = np.concatenate(who), np.concatenate(ids) * 65_537 + unit.shape[1]
+    order = np.lexsort([which, at])
+    return at[order], which[order]
+
+
 def _matrix(raws: list[bytes], kind: str) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """By dimension: the rows and their unit vectors in double precision."""
     lengths = np.array([len(r) for r in raws])
@@ -163,57 +192,43 @@ def memberships(classes: DataFrame, plans: dict[int, dict], kind: str, light: bo
     filter.  ``plans`` has the dimensions of at least two classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(i, DECODED) for b in batches for i in range(0, b.num_rows, DECODED)):
             raws = batch["raw"].to_pylist()
             for dimension, (rows, unit) in _matrix(raws, kind).items():
                 if dimension not in plans:
                     continue
-                p = plans[dimension]
-                found = [list_decode(unit, k, p) for k in range(p["codes"])]
-                who = np.concatenate([f[0] for f in found])
-                ids = np.concatenate([f[1] for f in found]) * 65_537 + dimension
-                order = np.lexsort([ids, who])
-                who, ids = who[order], ids[order]
+                who, ids = all_filters(unit, plans[dimension])
                 if light:
                     yield pa.RecordBatch.from_arrays([pa.array(ids)], names=["filter"])
                     continue
-                ends = np.searchsorted(who, np.arange(len(rows)), side="right")
-                lists = [ids[a:b].astype("<i8").tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
                 for a in range(0, len(who), ROWS):
-                    at = rows[who[a : a + ROWS]]
-                    take = pa.array(at)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[a : a + ROWS]), batch["rep"].take(take), batch["n"].take(take), batch["raw"].take(take), pa.array([lists[i] for i in who[a : a + ROWS]], pa.binary())],
-                        names=["filter", "rep", "n", "raw", "filters"],
-                    )
+                    take = pa.array(rows[who[a : a + ROWS]])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[a : a + ROWS]), *(batch[c].take(take) for c in ("rep", "n", "raw"))], names=["filter", "rep", "n", "raw"])
 
-    return classes.select("rep", "n", "raw").mapInArrow(run, "filter long" if light else "filter long, rep long, n long, raw binary, filters binary")
+    return classes.select("rep", "n", "raw").mapInArrow(run, "filter long" if light else "filter long, rep long, n long, raw binary")
 
 
-def verify_group(reps: np.ndarray, counts: np.ndarray, unit: np.ndarray, filters: list[bytes], side: np.ndarray, here: int, cross: bool, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(member, links, local root) of the members that have a verified pair."""
+def close_members(unit: np.ndarray, side: np.ndarray, cross: bool, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """The members that have a verified pair, and which pairs of these are."""
     close = unit @ unit.T >= cosine
     close &= (side[:, None] != side[None, :]) if cross else True
     np.fill_diagonal(close, False)
     members = np.flatnonzero(close.any(1))
-    if not len(members):
-        return members, members, members
-    lists = [filters[i] for i in members]
-    close = close[np.ix_(members, members)]
-    below = [np.frombuffer(raw, "<i8") for raw in lists]
-    below = [x[x < here] for x in below]
+    return members, close[np.ix_(members, members)]
+
+
+def links_and_roots(reps: np.ndarray, counts: np.ndarray, close: np.ndarray, filters: list[np.ndarray], here: int) -> tuple[np.ndarray, np.ndarray]:
+    """(links that are counted in this filter, local root) of members and their pairs."""
+    below = [x[x < here] for x in filters]
     union = np.unique(np.concatenate(below))
     counted = close
     if len(union):
-        marks = np.zeros((len(members), len(union)), np.float32)
+        marks = np.zeros((len(reps), len(union)), np.float32)
         for i, x in enumerate(below):
             marks[i, np.searchsorted(union, x)] = 1
         counted = close & (marks @ marks.T == 0)
-    links = counted @ counts[members]
     a, b = np.nonzero(close)
-    order = np.argsort(reps[members], kind="stable")
+    order = np.argsort(reps, kind="stable")
     place = np.empty_like(order)
     place[order] = np.arange(len(order))  # the smallest rep is the root
     label = place.copy()
@@ -223,28 +238,34 @@ def verify_group(reps: np.ndarray, counts: np.ndarray, unit: np.ndarray, filters
         label = label[order[label]]
         if (label == before).all():
             break
-    roots = order[label]
-    return members, links, members[roots]
+    return counted @ counts, reps[order[label]]
 
 
-def verified(members: DataFrame, kind: str, cosine: float) -> DataFrame:
+def verified(members: DataFrame, plans: dict[int, dict], kind: str, cosine: float) -> DataFrame:
     """node, links, root from members dealt and sorted by (filter, bi, bj)."""
 
     def flush(table: pa.Table) -> Iterator[tuple]:
         keys = np.column_stack([table[c].to_numpy() for c in ("filter", "bi", "bj")])
         cuts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, [len(keys)]])
         reps, counts, side = (table[c].to_numpy() for c in ("rep", "n", "side"))
-        raws, filters = table["raw"].to_pylist(), None
+        raws, groups = table["raw"].to_pylist(), []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if b - a < 2:
-                continue
-            unit = _unit(np.frombuffer(b"".join(raws[a:b]), kind).reshape(b - a, -1).astype(np.float64))
-            if b - a <= 64 and (unit @ unit.T >= cosine).sum() <= b - a:
-                continue
-            filters = filters or table["filters"].to_pylist()
-            who, links, roots = verify_group(reps[a:b], counts[a:b], unit, filters[a:b], side[a:b], int(keys[a, 0]), bool(keys[a, 1] != keys[a, 2]), cosine)
-            if len(who):
-                yield reps[a:b][who], links, reps[a:b][roots]
+            if b - a > 1:
+                unit = _unit(np.frombuffer(b"".join(raws[a:b]), kind).reshape(b - a, -1).astype(np.float64))
+                who, close = close_members(unit, side[a:b], bool(keys[a, 1] != keys[a, 2]), cosine)
+                if len(who):
+                    groups.append((a + who, close))
+        if not groups:
+            return
+        # a member's filters are those that it was dealt by: decoding is exact
+        different, first = np.unique(reps[np.concatenate([g[0] for g in groups])], return_index=True)
+        at, filters = np.concatenate([g[0] for g in groups])[first], {}
+        for dimension, (rows, unit) in _matrix([raws[i] for i in at], kind).items():
+            who, ids = all_filters(unit, plans[dimension])
+            filters |= dict(zip(different[rows].tolist(), np.split(ids, np.searchsorted(who, np.arange(1, len(rows)))), strict=True))
+        for who, close in groups:
+            links, roots = links_and_roots(reps[who], counts[who], close, [filters[r] for r in reps[who].tolist()], int(keys[who[0], 0]))
+            yield reps[who], links, roots
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -275,11 +296,8 @@ def verified(members: DataFrame, kind: str, cosine: float) -> DataFrame:
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of ``vectors`` (vec_id, embedding)."""
-    spark = vectors.sparkSession
     double = "double" in vectors.schema["embedding"].dataType.simpleString()
     kind = "<f8" if double else "<f4"
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
-
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -304,7 +322,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     else:
         members = members.withColumns({"side": F.lit(0), "bi": F.lit(0), "bj": F.lit(0)})
     dealt = members.repartition("filter", "bi", "bj").sortWithinPartitions("filter", "bi", "bj")
-    found = common.stored(verified(dealt, kind, cosine), "caps-found")
+    found = common.stored(verified(dealt, plans, kind, cosine), "caps-found")
     links = found.groupBy(F.col("node").alias("rep")).agg(F.sum("links").alias("links"))
     parts = common.connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")), "caps").select(F.col("node").alias("rep"), "component")
     info = classes.join(links, "rep", "left").join(parts, "rep", "left")

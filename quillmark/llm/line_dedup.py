@@ -2,13 +2,15 @@
 
 Tokens with a digit are variable fields.  The tree has a fixed depth: lines
 part by their number of tokens, then by their leading tokens.  In a leaf, a
-token that fewer than ``min_docs`` documents have at its position becomes a
-variable field too, and what remains is the line's template.  With ``near``, at
-any size of the corpus, a line also falls to a line of its leaf that more documents hold (the
-heaviest of those with which it agrees in a quarter of its places) if they
-agree in ``CONSTANT_SHARE`` of its tokens without digits.  Lines whose template
-recurs in ``min_docs`` documents or more are dropped, except in the
-first of these documents (by doc_id), which keeps its first such line.
+token that only one different line has at its place, or less than
+``FIELD_SHARE`` of the leaf's different lines, becomes a variable field too,
+and what remains is the line's template.  Different lines are counted, not
+documents, so more copies of a corpus have the same templates.  With ``near`` a
+line also falls to a line of its leaf that more documents hold (the heaviest of
+those with which it agrees in a quarter of its places) if they agree in
+``CONSTANT_SHARE`` of its tokens without digits.  Lines whose template recurs in
+``min_docs`` documents or more are dropped, except in the first of these
+documents (by doc_id), which keeps its first such line.
 
 Lines travel as two 64-bit hashes and a few numbers.  Only lines in leaves that
 hold different lines are looked up again for their tokens, one copy of each.
@@ -18,8 +20,8 @@ have no template; with ``short`` they go where they recur exactly, digits too.
 
 Edge cases: null texts stay null, empty ones empty; blank lines are never dropped;
 rows that repeat another row (doc_id and text) get the same decision; rows
-without a doc_id come first in the order; extra columns pass through; an empty
-table gives an empty result.
+without a doc_id come first in the order; extra columns pass through whatever
+their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ MIN_DOCS = 2
 DEPTH = 4
 LEAST_TOKENS = 3
 LEAST_CONSTANTS = 2
+#: Different lines, and share of a leaf's different lines, that fix a token at its place.
+FIXED_LINES, FIELD_SHARE = 2, 0.05
 #: Share of the tokens without digits that a template must keep.
 CONSTANT_SHARE = 0.7
 #: Stretches of a line, one of which agrees with the line that it falls to.
@@ -87,32 +91,41 @@ def short_lines(docs: DataFrame, hashes: DataFrame) -> DataFrame:
     return plain.unionByName(raw.selectExpr("k1", "k2", "at", "xxhash64(2, raw) as h1", "xxhash64(3, raw) as h2"))
 
 
-def recurring(docs: DataFrame, hashes: DataFrame, min_docs: int = MIN_DOCS, near: bool = False) -> DataFrame:
-    """(h1, h2, f1, f2): lines whose template recurs, and the key of the
-    template's first document."""
+def templates(docs: DataFrame, hashes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Different lines (kinds); those of leaves that hold several, with the
+    template that they have if any (shapes); and the latter's tokens."""
     once = hashes.groupBy("k1", "k2", *_LINE).agg(F.lit(1).alias("one"))
     kinds = common.stored(once.groupBy(*_LINE).agg(F.count("*").alias("docs"), F.min(F.struct("k1", "k2")).alias("first")), "lines-kinds")
-    leaves = kinds.groupBy("leaf").agg(F.count("*").alias("different")).where("different > 1").select("leaf")
-    mixed = common.stored(kinds.join(leaves, "leaf", "left_semi"), "lines-mixed")
+    leaves = kinds.groupBy("leaf").agg(F.count("*").alias("different")).where("different > 1")
+    mixed = common.stored(kinds.join(leaves, "leaf"), "lines-mixed")
 
     # tokens of the lines in leaves with different lines, from their first documents
-    wanted = mixed.select("h1", "h2", "leaf", F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"), "docs", F.col("tokens").alias("n"))
+    wanted = mixed.select("h1", "h2", "leaf", F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"), "docs", "different", F.col("tokens").alias("n"))
     holders = wanted.select("k1", "k2").distinct()
     if mixed.count() <= BROADCAST_ROWS:
         wanted, holders = F.broadcast(wanted), F.broadcast(holders)
     found = _lines(_keyed(docs).join(holders, ["k1", "k2"], "left_semi")).selectExpr("k1", "k2", "xxhash64(line) as h1", "xxhash64(1, line) as h2", "line")
-    found = found.join(wanted, ["k1", "k2", "h1", "h2"]).groupBy("h1", "h2", "leaf", "docs", "n").agg(F.any_value("line").alias("line"))
-    tokens = common.stored(found.select("h1", "h2", "leaf", "docs", "n", F.posexplode(F.split("line", " ")).alias("place", "token")), "lines-tokens")
-    support = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
+    found = found.join(wanted, ["k1", "k2", "h1", "h2"]).groupBy("h1", "h2", "leaf", "docs", "different", "n").agg(F.any_value("line").alias("line"))
+    tokens = common.stored(found.select("h1", "h2", "leaf", "docs", "different", "n", F.posexplode(F.split("line", " ")).alias("place", "token")), "lines-tokens")
+    support = tokens.groupBy("leaf", "place", "token").agg(F.count("*").alias("lines"), F.any_value("different").alias("of")).where(f"lines >= {FIXED_LINES} and lines >= {FIELD_SHARE} * of")
     fixed = tokens.join(support.hint("shuffle_hash"), ["leaf", "place", "token"]).select("h1", "h2", F.xxhash64("place", "token").alias("part"), (F.col("token") != "<*>").cast("int").alias("constant"))
     shapes = fixed.groupBy("h1", "h2").agg(F.bit_xor("part").alias("template"), F.sum("constant").alias("kept"))
-    shapes = common.stored(mixed.join(shapes, ["h1", "h2"]), "lines-shapes").where(f"kept >= {LEAST_CONSTANTS} and kept >= {CONSTANT_SHARE} * constants")
-    templates = shapes.groupBy("leaf", "template").agg(F.sum("docs").alias("total"), F.min("first").alias("earliest")).where(F.col("total") >= min_docs)
-    general = shapes.join(templates, ["leaf", "template"]).select("h1", "h2", F.col("earliest").alias("first"))
-    plain = kinds.where(F.col("docs") >= min_docs).join(leaves, "leaf", "left_anti").select("h1", "h2", "first")
-    found = general.unionByName(plain)
+    shapes = common.stored(mixed.join(shapes, ["h1", "h2"], "left"), "lines-shapes")
+    good = f"kept >= {LEAST_CONSTANTS} and kept >= {CONSTANT_SHARE} * constants"
+    return kinds, shapes.withColumn("template", F.when(F.expr(good), F.col("template"))), tokens
+
+
+def recurring(docs: DataFrame, hashes: DataFrame, min_docs: int = MIN_DOCS, near: bool = False) -> DataFrame:
+    """(h1, h2, f1, f2): lines whose template recurs, and the key of the
+    template's first document."""
+    kinds, shapes, tokens = templates(docs, hashes)
+    shaped = shapes.where("template is not null")
+    total = shaped.groupBy("leaf", "template").agg(F.sum("docs").alias("total"), F.min("first").alias("earliest")).where(F.col("total") >= min_docs)
+    general = shaped.join(total, ["leaf", "template"]).select("h1", "h2", F.col("earliest").alias("first"))
+    alone = kinds.where(F.col("docs") >= min_docs).join(shapes.select("leaf").distinct(), "leaf", "left_anti").select("h1", "h2", "first")
+    found = general.unionByName(alone)
     if near:
-        found = found.unionByName(similar(mixed, tokens, min_docs)).groupBy("h1", "h2").agg(F.min("first").alias("first"))
+        found = found.unionByName(similar(shapes, tokens, min_docs)).groupBy("h1", "h2").agg(F.min("first").alias("first"))
     return found.select("h1", "h2", F.col("first.k1").alias("f1"), F.col("first.k2").alias("f2"))
 
 
@@ -154,17 +167,28 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, near: bool = False,
     return hits.groupBy("k1", "k2").agg(F.collect_set("at").alias("dropped"))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, near: bool = False, short: bool = False) -> DataFrame:
-    """The documents without the dropped lines, and n_lines and n_dropped;
-    n_chars, if there, follows the text."""
+def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, near: bool = False, short: bool = False, counts: bool = True) -> DataFrame:
+    """The documents without the dropped lines and, with ``counts``, n_lines
+    and n_dropped (under these names with a mark ``_`` added where the table has
+    columns of those names); n_chars, if there, follows the text."""
+    a, b, cut_, drop = common.fresh(docs, "k1", "k2", "lines", "drop")
     k1, k2 = common.row_key(docs)
-    drops = common.stored(dropped_lines(docs, min_docs, near, short), "lines-dropped").select(F.col("k1").alias("__1"), F.col("k2").alias("__2"), F.col("dropped").alias("__drop")).hint("shuffle_hash")
+    drops = common.settled(lambda: dropped_lines(docs, min_docs, near, short), "lines-dropped").select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("dropped").alias(drop)).hint("shuffle_hash")
     # texts cross the join as lists of lines, so that a line is found by its number
-    cut = docs.withColumns({"__1": k1, "__2": k2, "__lines": F.split("text", "\n")}).drop("text")
-    marked = cut.join(drops, ["__1", "__2"], "left")
-    left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.coalesce("__drop", F.expr("cast(array() as array<int>)")))
-    text = F.when(F.col("__lines").isNotNull(), F.array_join(F.transform(left, lambda i: F.get("__lines", i)), "\n"))
-    out = marked.withColumns({"text": text, "n_lines": F.when(F.col("__lines").isNull(), 0).otherwise(F.size("__lines")).cast("long"), "n_dropped": F.when(F.col("__drop").isNull(), 0).otherwise(F.size("__drop")).cast("long")})
+    cut = docs.withColumns({a: k1, b: k2, cut_: F.split("text", "\n")}).drop("text")
+    marked = cut.join(drops, [a, b], "left")
+    left = F.array_except(F.sequence(F.lit(0), F.size(cut_) - 1), F.coalesce(drop, F.expr("cast(array() as array<int>)")))
+    text = F.when(F.col(cut_).isNotNull(), F.array_join(F.transform(left, lambda i: F.get(cut_, i)), "\n"))
+    out = marked.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns, "n_lines", "n_dropped")
+    names = [common.quoted(c) for c in docs.columns]
+    if not counts:
+        return out.select(*names)
+    lines = F.when(F.col(cut_).isNull(), 0).otherwise(F.size(cut_)).cast("long")
+    gone = F.when(F.col(drop).isNull(), 0).otherwise(F.size(drop)).cast("long")
+    taken = {c.lower() for c in docs.columns}
+    mark = ""
+    while taken & {f"n_lines{mark}", f"n_dropped{mark}"}:
+        mark += "_"
+    return out.select(*names, lines.alias(f"n_lines{mark}"), gone.alias(f"n_dropped{mark}"))

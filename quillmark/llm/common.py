@@ -3,8 +3,6 @@ hashes in numpy, shared storage, and distributed connected components."""
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -14,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.storage import shared_folder
+
 #: Bytes of text that are hashed at a time; bounds a Python worker's memory.
 CHUNK_BYTES = 1 << 20
 #: Rows of text in one Arrow batch.
@@ -58,24 +58,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir.
-    Only where that is unset and all runs in one process (tests) is it one of
-    our own; on a cluster it must be set."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        current = context._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            folder = current.get()
-        elif context._jsc.sc().isLocal():
-            folder = os.path.join(tempfile.gettempdir(), "checkpoints", "quillmark")
-            context.setCheckpointDir(folder)
-        else:
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return folder.rstrip("/")
-
-
 #: Tables written inside open scopes.
 _SCOPES: list[list[str]] = []
 

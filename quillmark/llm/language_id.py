@@ -8,7 +8,8 @@ all whole texts are scored.
 
 Edge cases: null texts and texts without a letter get ``und`` and score 0, as
 does every text if nothing could be learned; null languages teach nothing;
-ties go to the language that sorts first; repeated rows are scored one by one;
+ties go to the language that sorts first; repeated rows are scored one by one
+and of rows that share doc_id and lang the fit takes one text, the first in order;
 extra columns are ignored; an empty table gives an empty result.
 """
 
@@ -83,15 +84,16 @@ def train(docs: DataFrame, allowed: Column, sample: int = SAMPLE) -> Model:
     common.small_batches(docs.sparkSession)
     order = [F.xxhash64("doc_id", F.lit(2)), F.col("doc_id")]
     dealt, whole = Window.partitionBy("lang", "__salt").orderBy(*order), Window.partitionBy("lang").orderBy(*order)
-    ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & allowed).select(F.col("doc_id").cast("long").alias("doc_id"), "lang")
+    ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & allowed).select(F.col("doc_id").cast("long").alias("doc_id"), "lang").distinct()
     # a common language is thinned in many tasks before one task chooses
     ids = ids.withColumn("__salt", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(SALTS)))
     ids = ids.withColumn("__n", F.row_number().over(dealt)).where(F.col("__n") <= sample)
-    ids = ids.withColumn("__n", F.row_number().over(whole)).where(F.col("__n") <= sample).select("doc_id", "lang").distinct()
+    ids = ids.withColumn("__n", F.row_number().over(whole)).where(F.col("__n") <= sample).select("doc_id", "lang")
     ids = common.stored(ids, "language-sample")
     if ids.count() <= BROADCAST_ROWS:  # ``sample`` for each language
         ids = F.broadcast(ids)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").join(ids, ["doc_id", "lang"]).withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").join(ids, ["doc_id", "lang"])
+    rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)))
 
     def count(table: pa.Table) -> pa.Table:
         total = np.zeros(BUCKETS, np.int64)

@@ -220,8 +220,9 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP)
     """``pieces`` (length and whatever they carry) with sequence_id and offset.
     Only numbers and lengths go through the packing tasks; the pieces, which
     are numbered once and written, join their places at the end."""
-    whole = common.stored(pieces.withColumn("__uid", F.monotonically_increasing_id()), "pack-pieces")
-    rest, done = whole.select(F.col("__uid").alias("uid"), "length"), None
+    (uid,) = common.fresh(pieces, "uid")
+    whole = common.stored(pieces.withColumn(uid, F.monotonically_increasing_id()), "pack-pieces")
+    rest, done = whole.select(F.col(uid).alias("uid"), "length"), None
     n = rest.count()
     for level in range(8):
         groups = max(1, -(-n // group))
@@ -235,7 +236,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP)
         if not left:
             break
         rest, n = placed.where(~full).select("uid", "length"), left
-    return whole.join(done.withColumnRenamed("uid", "__uid"), "__uid").drop("__uid")
+    return whole.join(done.withColumnRenamed("uid", uid), uid).drop(uid)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, closing: int = CLOSING_ID) -> DataFrame:

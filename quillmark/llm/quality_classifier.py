@@ -7,13 +7,14 @@ together with the power of two of their share of the text, and the share of
 word n-grams that the text repeats.  Margins become probabilities by a logistic
 fit on rows that the descent has not seen.
 
-The fit takes at most ``SAMPLE`` labelled rows, chosen by a hash of doc_id; all
-whole texts are scored.
+The fit takes at most ``SAMPLE`` labelled documents and ``SAMPLE_INDICATORS``
+indicators of them, chosen by a hash of doc_id; all whole texts are scored.
 
 Edge cases: null and empty texts have an indicator of their own and a score; a
 training table without both classes gives every text the share of label 1 (0.5
-if there are no labels); conflicting labels of a doc_id are averaged; repeated
-rows are scored one by one; extra columns are ignored.
+if there are no labels); conflicting labels of a doc_id are averaged; of rows
+that share a doc_id one teaches; repeated rows are scored one by one; extra
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from . import common
 
 #: Most labelled rows that the fit takes.
 SAMPLE = 8_000
+#: Most indicators (of 4 bytes) that come to the driver, in hash order of their documents.
+SAMPLE_INDICATORS = 1 << 25
 DIMENSIONS = 1 << 18
 COST = 1.0
 EPOCHS = 12
@@ -203,7 +206,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, sampl
                 sets = [which[a:b].astype("<i4").tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch["__id"].slice(i, j - i), batch["__label"].slice(i, j - i), pa.array(sets, pa.binary())], names=["id", "label", "which"])
 
-    found = sorted(((r.id, bytes(r.which), r.label) for r in rows.mapInArrow(run, "id long, label double, which binary").collect()), key=lambda r: r[:2])
+    sets = rows.mapInArrow(run, "id long, label double, which binary").groupBy("id").agg(F.first("label").alias("label"), F.min("which").alias("which"))
+    sets = common.stored(sets, "quality-sample")
+    sizes = {r.id: r.n for r in sets.select("id", (F.length("which") / 4).cast("long").alias("n")).collect()}  # at most ``sample``
+    total, taken = 0, []
+    for r in chosen:
+        total += sizes.get(r["__id"], 0)
+        if total > SAMPLE_INDICATORS:
+            break
+        taken.append(r["__id"])
+    if len(taken) < len(chosen):
+        sets = sets.join(F.broadcast(spark.createDataFrame([(i,) for i in taken], "id long")), "id", "left_semi")
+    found = sorted((r.id, bytes(r.which), r.label) for r in sets.collect())
     return fit([np.frombuffer(r[1], "<i4") for r in found], np.array([r[2] >= 0.5 for r in found], np.float64))
 
 

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import common
 
@@ -101,20 +102,23 @@ def score_rules(docs: DataFrame, keep: list[str] | None = None, prefix: str = ""
     verdict, whose names begin with ``prefix``."""
     keep = ["doc_id"] if keep is None else keep
     common.small_batches(docs.sparkSession)
-    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep] + [f"{prefix}{c} {t}" for c, t in COLUMNS])
-
-    text = "text" if "text" in keep else "__text"
+    carried = [f"c{i}" for i in range(len(keep))]  # whatever the columns' names
+    schema = ", ".join([f"{c} {docs.schema[name].dataType.simpleString()}" for c, name in zip(carried, keep, strict=True)] + [f"m_{c} {t}" for c, t in COLUMNS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, offsets in common.text_chunks(batch[text]):
+            for i, j, data, offsets in common.text_chunks(batch["text"]):
                 found = judge(measure(data, offsets))
-                kept = [batch[c].slice(i, j - i) for c in keep]
-                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(found[c], pa.bool_() if t == "boolean" else pa.int64()) for c, t in COLUMNS)], names=[*keep, *(prefix + c for c, _ in COLUMNS)])
+                kept = [batch[c].slice(i, j - i) for c in carried]
+                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(found[c], pa.bool_() if t == "boolean" else pa.int64()) for c, t in COLUMNS)], names=[*carried, *(f"m_{c}" for c, _ in COLUMNS)])
 
-    return docs.select(*keep, *([] if text in keep else [docs["text"].alias(text)])).mapInArrow(run, schema)
+    rows = docs.select(*(common.quoted(name).alias(c) for c, name in zip(carried, keep, strict=True)), docs["text"].alias("text")).mapInArrow(run, schema)
+    return rows.select(*(F.col(c).alias(name) for c, name in zip(carried, keep, strict=True)), *(F.col(f"m_{c}").alias(prefix + c) for c, _ in COLUMNS))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents whose verdict is to keep, with the columns they came with."""
-    return score_rules(docs, docs.columns, "__").where("__kept").select(*docs.columns)
+    prefix = "__"
+    while any(prefix + c in docs.columns for c, _ in COLUMNS):
+        prefix += "_"
+    return score_rules(docs, docs.columns, prefix).where(f"{prefix}kept").select(*map(common.quoted, docs.columns))

@@ -1,5 +1,5 @@
 import corpus_pipeline
-from test_search_operators import plain_line_dedup, plain_simhash, plain_spans
+from test_search_operators import plain_discovery, plain_line_dedup, plain_simhash
 from test_text_operators import check_packing, plain_rules
 
 from quillmark.llm import packing, pii
@@ -7,9 +7,10 @@ from quillmark.llm import packing, pii
 
 def test_pipeline_against_plain_stages(spark, docs):
     rows = {r.doc_id: r.text for r in docs.collect() if plain_rules(r.text)["kept"]}
-    rows = {i: t for i, (t, _) in plain_line_dedup(sorted(rows.items())).items()}
+    rows = {i: t for i, (t, _) in plain_line_dedup(sorted(rows.items()), near=True, short=True).items()}
     keep = {c for _, _, c in plain_simhash(sorted(rows.items()))}
-    rows = {i: pii.replace_spans(t, plain_spans(t)) for i, t in rows.items() if i in keep}
+    spans = plain_discovery([(i, t) for i, t in rows.items() if i in keep])
+    rows = {i: pii.replace_spans(rows[i], s) for i, s in spans.items()}
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     check_packing(out, 4096)
     mine = {}

@@ -2,11 +2,14 @@
 
 import base64
 import hashlib
+import itertools
+import math
 import re
 import struct
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import regex
@@ -175,3 +178,161 @@ def test_quality_is_right_on_held_out_rows(spark, docs, odd, empty):
     nothing = quality_classifier.train(odd, labels.limit(0), "quality", F.lit(True))
     assert {r.score for r in quality_classifier.score(odd, nothing).collect()} == {0.5}
     assert quality_classifier.score(empty, model).count() == 0
+
+
+# --- models against plain versions -----------------------------------------
+
+STEP, BELOW = 0x100000001B3, (1 << 64) - 1
+
+
+def plain_mix(x):
+    x = x + 0x9E3779B97F4A7C15 & BELOW
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & BELOW
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & BELOW
+    return x ^ x >> 31
+
+
+def plain_word(word):
+    return plain_mix(sum((b + 1) * pow(STEP, i, 1 << 64) for i, b in enumerate(word)) & BELOW ^ len(word))
+
+
+def plain_grams(words, n):
+    out = []
+    for i in range(len(words) - n + 1):
+        total = 0
+        for w in words[i : i + n]:
+            total = total * STEP + w & BELOW
+        out.append(plain_mix(total ^ n))
+    return out
+
+
+def plain_shape(word):
+    kind = lambda b: b"0" if 48 <= b < 58 else b"A" if 65 <= b < 91 else b"a" if 97 <= b < 123 or b > 127 else bytes([b])
+    return b"".join(k for k, _ in itertools.groupby(map(kind, word)))
+
+
+def plain_indicators(text):
+    words = [w for w in re.split(rb"[\x20\x09-\x0D]+", (text or "").encode()) if w]
+    plain, shape = [plain_word(w.lower()) for w in words], [plain_word(plain_shape(w)) for w in words]
+    out = {plain_mix(int(math.log2(len(words) + 1)) + (1 << 40))} | {g for n in (1, 2) for g in plain_grams(plain, n)}
+    for n in (1, 2, 3):
+        for g, c in Counter(plain_grams(shape, n)).items():
+            out.add(plain_mix(g ^ max(math.floor(math.log2(c / len(words))), -8) + 8 << 32))
+    for n in (1, 3):
+        grams = Counter(plain_grams(plain, n))
+        share = int(10 * (1 - sum(c == 1 for c in grams.values()) / grams.total())) if grams else 11
+        out.add(plain_mix(share + (n << 48) + 1))
+    return sorted({x % quality_classifier.DIMENSIONS for x in out})
+
+
+def plain_classifier(texts, labels):
+    """A function that scores a text: dense naive Bayes ratios, dual coordinate
+    descent and a logistic fit of margins from three folds."""
+    size, sets = quality_classifier.DIMENSIONS, [plain_indicators(t) for t in texts]
+    columns = {c: i for i, c in enumerate(sorted(set().union(*sets)))}
+    x = np.zeros((len(sets), len(columns)))
+    for row, found in zip(x, sets, strict=True):
+        row[[columns[c] for c in found]] = 1
+    y = np.array(labels, float)
+
+    def descent(at):
+        counts = [x[at][y[at] == c].sum(0) for c in (0, 1)]
+        totals = [c.sum() + size for c in counts]
+        ratio = np.log((counts[1] + 1) / totals[1]) - np.log((counts[0] + 1) / totals[0])
+        unseen = math.log(1 / totals[1]) - math.log(1 / totals[0])
+        z = x[at] * ratio
+        z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
+        sign, w, dual, rng = 2 * y[at] - 1, np.zeros(x.shape[1]), np.zeros(len(at)), np.random.default_rng(7)
+        for _ in range(12):
+            worst = 0.0
+            for i in rng.permutation(len(at)):
+                new = min(max(dual[i] - (sign[i] * (w @ z[i]) - 1), 0.0), 1.0)
+                w += (new - dual[i]) * sign[i] * z[i]
+                worst, dual[i] = max(worst, abs(new - dual[i])), new
+            if worst < 1e-3:
+                break
+        return ratio, unseen, w
+
+    def margin(found, ratio, unseen, w):
+        values = [(ratio[columns[c]], w[columns[c]]) if c in columns else (unseen, 0.0) for c in found]
+        return sum(r * v for r, v in values) / max(math.sqrt(sum(r * r for r, _ in values)), 1e-12)
+
+    margins = np.zeros(len(sets))
+    for k in range(3):
+        fold = descent(np.flatnonzero(np.arange(len(sets)) % 3 != k))
+        for i in range(k, len(sets), 3):
+            margins[i] = margin(sets[i], *fold)
+    a, b = 1.0, 0.0
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-(a * margins + b)))
+        gradient = np.array([margins @ (p - y) + 1e-2 * (a - 1), (p - y).sum() + 1e-3 * b])
+        v = p * (1 - p)
+        hessian = np.array([[(v * margins**2).sum() + 1e-2, (v * margins).sum()], [(v * margins).sum(), v.sum() + 1e-3]])
+        a, b = np.array([a, b]) - np.linalg.solve(hessian, gradient)
+    whole = descent(np.arange(len(sets)))
+    return lambda text: 1 / (1 + math.exp(-(a * margin(plain_indicators(text), *whole) + b)))
+
+
+def test_quality_scores_against_a_dense_plain_model(spark):
+    short = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) < 900")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality is not null").collect()}
+    rows = sorted((r.doc_id, r.text) for r in short.collect() if r.doc_id in labels)[:240]
+    frame = spark.createDataFrame([*rows, (10**6, None), (10**6 + 1, "")], "doc_id long, text string")
+    model = quality_classifier.train(frame, spark.createDataFrame(list(labels.items()), "doc_id long, quality int"), "quality", F.lit(True))
+    score = plain_classifier([t for _, t in rows], [labels[i] for i, _ in rows])
+    got = {r.doc_id: r.score for r in quality_classifier.score(frame, model).collect()}
+    assert len({labels[i] for i, _ in rows}) == 2
+    for i, text in [*rows, (10**6, None), (10**6 + 1, "")]:
+        assert abs(got[i] - score(text)) < 1e-3
+
+
+def plain_folded(text):
+    out = []
+    for c in text or "":
+        low = c.lower() if ord(c) < 0x250 and len(c.lower()) == 1 else c
+        low = " " if ord(c) < 0x80 and not c.isalpha() else low
+        if low != " " or not out or out[-1] != " ":
+            out.append(low)
+    return "".join(out)
+
+
+def plain_buckets(text):
+    text = plain_folded(text)
+    for n in (1, 2, 3):
+        for i in range(len(text) - n + 1):
+            key = n
+            for c in text[i : i + n]:
+                key = key * 1_000_003 + ord(c) & BELOW
+            yield plain_mix(key) % language_id.BUCKETS
+
+
+def test_language_scores_against_dictionaries(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 4000").limit(200)
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts = defaultdict(Counter)
+    for i, text, lang in rows:
+        if lang is not None and i % 3:
+            counts[lang].update(plain_buckets(text))
+    totals = {k: c.total() + 0.5 * language_id.BUCKETS for k, c in counts.items()}
+    model = language_id.train(frame, F.col("doc_id") % 3 != 0)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(frame, model).collect()}
+    for i, text, _ in rows:
+        if not regex.search(r"\p{L}", text or ""):
+            assert got[i] == ("und", 0.0)
+            continue
+        logs = {k: sum(math.log((c[b] + 0.5) / totals[k]) for b in plain_buckets(text)) for k, c in counts.items()}
+        best = max(sorted(logs), key=logs.get)
+        assert got[i][0] == best and abs(got[i][1] - 1 / sum(math.exp(v - logs[best]) for v in logs.values())) < 1e-3
+
+
+def test_samples_are_bounded_in_bytes_and_take_an_id_once(spark, monkeypatch):
+    rows = [(i, f"good words of text {i}" if i % 2 else f"BAD ### {i} !!!") for i in range(40)]
+    docs = spark.createDataFrame([*rows, *[(1, "good words of text 1")] * 300], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    whole = quality_classifier.train(docs, labels, "quality", F.lit(True))
+    once = quality_classifier.train(docs.distinct(), labels, "quality", F.lit(True))
+    assert (whole.weights == once.weights).all()
+    monkeypatch.setattr(quality_classifier, "SAMPLE_INDICATORS", 300)
+    few = quality_classifier.train(docs, labels, "quality", F.lit(True))
+    assert 0 < (few.weights != 0).sum() < (whole.weights != 0).sum()

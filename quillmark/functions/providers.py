@@ -20,8 +20,10 @@ from pathlib import Path
 from typing import Any, Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 
 class TextModel(Protocol):
@@ -307,83 +309,110 @@ def answers(
     return fresh if known is None else fresh.unionByName(asked.join(known.select("key", "answer"), "key").select("key", "prompt", "answer"))
 
 
+def _each(frame: DataFrame, make: Callable[[], Callable[[dict], list[dict]]], schema: pa.Schema) -> DataFrame:
+    """What a function gives for each row of ``frame``; it is made once in a worker."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield pa.RecordBatch.from_pylist(work(row), schema)
+
+    return frame.mapInArrow(run, from_arrow_schema(schema))
+
+
+def _schema(**fields: pa.DataType) -> pa.Schema:
+    return pa.schema(list(fields.items()))
+
+
+def _error(error: Exception) -> str:
+    return str(error)[:2000] + ("..." if len(str(error)) > 2000 else "")
+
+
+LAYOUT = _schema(
+    book=pa.string(), ord=pa.int64(), label=pa.string(), text=pa.string(), level=pa.int32(), page_no=pa.int32(), l=pa.float64(), t=pa.float64(), r=pa.float64(), b=pa.float64(),
+    origin=pa.string(), page_height=pa.float64(),
+)
+OUTLINE = _schema(book=pa.string(), ord=pa.int32(), depth=pa.int32(), title=pa.string(), page=pa.int32())
+READ = _schema(path=pa.string(), ocr_text=pa.string(), ocr_error=pa.string())
+DESCRIBED = _schema(image_id=pa.string(), ok=pa.bool_(), error=pa.string(), record=pa.string())
+
+
 def scan_layout(files: DataFrame, layout: Callable[[], Layout] = PlainPages, rebuild: int = 0) -> DataFrame:
     """Layout items of files (book, content) in their order.  The model is made
     once in a worker, and anew after ``rebuild`` files if that is above 0; a
     file that fails gives one item of the label ERROR."""
-    columns = ["book", "ord", "label", "text", "level", "page_no", "l", "t", "r", "b", "origin", "page_height"]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, served = None, 0
-        for frame in frames:
-            for book, content in zip(frame["book"], frame["content"], strict=True):
-                if model is None or (rebuild and served == rebuild):
-                    model, served = layout(), 0
-                served += 1
-                try:
-                    rows = list(model.items(bytes(content or b"")))
-                except Exception as error:  # noqa: BLE001  one document doesn't stop the others
-                    rows = [{"label": "ERROR", "text": str(error)[:2000]}]
-                table = pd.DataFrame([{"book": book, "ord": k, **r} for k, r in enumerate(rows)], columns=columns)
-                for c, kind in (("ord", "int64"), ("level", "Int32"), ("page_no", "Int32"), ("l", "float64"), ("t", "float64"), ("r", "float64"), ("b", "float64"), ("page_height", "float64")):
-                    table[c] = table[c].astype(kind)
-                yield table
-
-    schema = "book string, ord long, label string, text string, level int, page_no int, l double, t double, r double, b double, origin string, page_height double"
-    return files.select("book", "content").mapInPandas(run, schema)
+    def make() -> Callable[[dict], list[dict]]:
+        state: dict[str, Any] = {"model": None, "served": 0}
+
+        def work(row: dict) -> list[dict]:
+            if state["model"] is None or (rebuild and state["served"] == rebuild):
+                state.update(model=layout(), served=0)
+            state["served"] += 1
+            try:
+                rows = list(state["model"].items(bytes(row["content"] or b"")))
+            except Exception as error:  # noqa: BLE001  one document doesn't stop the others
+                rows = [{"label": "ERROR", "text": _error(error)}]
+            return [{"book": row["book"], "ord": k, **r} for k, r in enumerate(rows)]
+
+        return work
+
+    return _each(files.select("book", "content"), make, LAYOUT)
 
 
 def scan_outline(files: DataFrame, outline: Callable[[], Outline] = PlainPages) -> DataFrame:
     """book, ord, depth, title, page of files (book, content); titles are
     stripped, empty ones are ``?``; a file that fails has no outline."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make() -> Callable[[dict], list[dict]]:
         model = outline()
-        for frame in frames:
-            rows = []
-            for book, content in zip(frame["book"], frame["content"], strict=True):
-                try:
-                    rows += [(book, k, depth, str(title).strip() or "?", page) for k, (depth, title, page) in enumerate(model.entries(bytes(content or b"")), 1)]
-                except Exception:  # noqa: BLE001, S112
-                    continue
-            yield pd.DataFrame(rows, columns=["book", "ord", "depth", "title", "page"])
 
-    return files.select("book", "content").mapInPandas(run, "book string, ord int, depth int, title string, page int")
+        def work(row: dict) -> list[dict]:
+            try:
+                found = list(model.entries(bytes(row["content"] or b"")))
+            except Exception:  # noqa: BLE001
+                found = []
+            return [{"book": row["book"], "ord": k, "depth": depth, "title": str(title).strip() or "?", "page": page} for k, (depth, title, page) in enumerate(found, 1)]
+
+        return work
+
+    return _each(files.select("book", "content"), make, OUTLINE)
 
 
 def read_images(files: DataFrame, reader: Callable[[], Reader] = Offline) -> DataFrame:
     """path, ocr_text, ocr_error of image files (path, content)."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make() -> Callable[[dict], list[dict]]:
         model = reader()
-        for frame in frames:
-            rows = []
-            for path, content in zip(frame["path"], frame["content"], strict=True):
-                try:
-                    rows.append((path, model.read(bytes(content or b"")), None))
-                except Exception as error:  # noqa: BLE001  kept beside the other images
-                    rows.append((path, None, str(error)[:2000]))
-            yield pd.DataFrame(rows, columns=["path", "ocr_text", "ocr_error"])
 
-    return files.select("path", "content").mapInPandas(run, "path string, ocr_text string, ocr_error string")
+        def work(row: dict) -> list[dict]:
+            try:
+                return [{"path": row["path"], "ocr_text": model.read(bytes(row["content"] or b""))}]
+            except Exception as error:  # noqa: BLE001  kept beside the other images
+                return [{"path": row["path"], "ocr_error": _error(error)}]
+
+        return work
+
+    return _each(files.select("path", "content"), make, READ)
 
 
 def describe(figures: DataFrame, provider: Callable[[], TextModel] = Offline) -> DataFrame:
     """image_id, ok, error, record (JSON) of figures (image_id, image_path,
     image_url and what is known of them), one call each; failures are rows too."""
-    names = [c for c in figures.columns if c != "image_url"]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make() -> Callable[[dict], list[dict]]:
         model = provider()
-        for frame in frames:
-            rows = []
-            for url, *values in frame[["image_url", *names]].itertuples(index=False):
-                meta = dict(zip(names, values, strict=True))
-                try:
-                    record = figure_record(model_json(model.generate(figure_prompt(meta), max_tokens=4096, images=(url,) if url else ()))) | {"image_path": meta["image_path"]}
-                    rows.append((meta["image_id"], True, None, json.dumps(record, ensure_ascii=False)))
-                except Exception as error:  # noqa: BLE001  reported, the batch goes on
-                    rows.append((meta["image_id"], False, str(error)[:2000] + ("..." if len(str(error)) > 2000 else ""), None))
-            yield pd.DataFrame(rows, columns=["image_id", "ok", "error", "record"])
-
-    return figures.mapInPandas(run, "image_id string, ok boolean, error string, record string")
+
+        def work(meta: dict) -> list[dict]:
+            url = meta.pop("image_url", None)
+            try:
+                answer = model.generate(figure_prompt(meta), max_tokens=4096, images=(url,) if url else ())
+                record = figure_record(model_json(answer)) | {"image_path": meta.get("image_path")}
+                return [{"image_id": meta["image_id"], "ok": True, "record": json.dumps(record, ensure_ascii=False)}]
+            except Exception as error:  # noqa: BLE001  reported, the batch goes on
+                return [{"image_id": meta["image_id"], "ok": False, "error": _error(error)}]
+
+        return work
+
+    return _each(figures, make, DESCRIBED)

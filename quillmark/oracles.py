@@ -43,7 +43,7 @@ slots AS (
   UNION ALL SELECT book, doc_id, 1000000030, {_F} FROM e WHERE doc_id % 97 = 5
   UNION ALL SELECT book, doc_id, 1000000035, 'Copyrght 2023 2024 ' || book || ' All rights reserved by ' || p FROM e WHERE doc_id % 9 = 2
   UNION ALL SELECT book, doc_id, 1000000037, '  ' || p || ' Copyright 2023 2024 ' || book || ' All rights reserved' || CASE doc_id % 14 WHEN 3 THEN ' and this stays in the text' ELSE ' short' END FROM e WHERE doc_id % 14 IN (3, 10)
-  UNION ALL SELECT book, doc_id, 1000000036, 'Working draft of the ' || (['first', 'third', 'sixth', 'tenth'])[doc_id % 4 + 1] || ' part' FROM e
+  UNION ALL SELECT book, doc_id, 1000000036, 'Working draft of the ' || (['first', 'third', 'sixth', 'tenth'])[CAST(p AS INTEGER) % 4 + 1] || ' part' FROM e
   UNION ALL SELECT book, doc_id, 1000000040, p || ' Copyright 2023 2024 ' || book || ' All rights reserved' FROM e
   UNION ALL SELECT book, doc_id, 1000000041, p FROM e),
 lines AS (SELECT book, doc_id, line, CAST(row_number() OVER (PARTITION BY book ORDER BY doc_id, slot) AS INTEGER) AS line_no FROM slots),

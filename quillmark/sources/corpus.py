@@ -52,7 +52,7 @@ def composed(docs: DataFrame) -> DataFrame:
     )
     code = (i % 5 == 0) & (n >= 3)
     again, furniture, tildes = code & (i % 15 == 5), code & (i % 10 == 0), i % 12 == 7
-    draft = F.element_at(F.array(*map(F.lit, ("first", "third", "sixth", "tenth"))), (i % 4 + 1).cast("int"))
+    draft = F.element_at(F.array(*map(F.lit, ("first", "third", "sixth", "tenth"))), (F.col("part_no").cast("int") % 4 + 1))
     slots = F.concat(
         row(0, text("## IEEE Standard for ", F.col("book"), " interfaces")), row(1, F.lit("")), row(2, heading), row(3, F.lit("")),
         F.transform("body", lambda x, k: F.struct((100 + 10 * (k + 1)).cast("long").alias("slot"), x.alias("line"))),
@@ -141,7 +141,7 @@ def reassembled(lines: DataFrame) -> DataFrame:
 def write_markdown(lines: DataFrame, path: str) -> None:
     """Markdown files, a folder ``book=...`` for each; Spark's commit replaces
     the whole target or nothing."""
-    reassembled(lines).repartition("book").write.mode("overwrite").option("lineSep", "").partitionBy("book").text(path)
+    reassembled(lines).repartition("book").write.mode("overwrite").partitionBy("book").text(path)
 
 
 def write_audit(audit: DataFrame, path: str) -> None:

@@ -59,21 +59,14 @@ def after_output(x: Column) -> Column:
     return F.when(at > 0, F.substr(x, at + F.lit(8)))
 
 
-def tokens(x: Column) -> Column:
-    """Runs of word characters and runs of others, in order."""
-    return F.regexp_extract_all(x, F.lit(r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)"), F.lit(1))
+_WORD = r"[\p{L}\p{N}_]"
 
 
 def normalised(x: Column) -> Column:
     """Numbers of up to four digits and Roman numerals, as whole words, by their kind."""
-    kind = lambda t: F.when(t.rlike("^[0-9]{1,4}$"), "{NUM}").when(t.rlike("^[ivxlcdmIVXLCDM]+$"), "{ROMAN}").otherwise(t)
-    return F.array_join(F.transform(tokens(x), kind), "")
+    x = F.regexp_replace(x, rf"(?<!{_WORD})[0-9]{{1,4}}(?!{_WORD})", "{NUM}")
+    return F.regexp_replace(x, rf"(?<!{_WORD})[ivxlcdmIVXLCDM]+(?!{_WORD})", "{ROMAN}")
 
 
 def count_chars(x: Column, chars: str) -> Column:
     return F.length(x) - F.length(F.translate(x, chars, ""))
-
-
-def fenced_json(x: Column) -> Column:
-    """The object inside an answer: without code fences, from the first { to the last }."""
-    return F.nullif(F.regexp_extract(F.regexp_replace(x, r"^\s*```[a-zA-Z]*\n?|```\s*$", ""), r"(?s)\{.*\}", 0), F.lit(""))

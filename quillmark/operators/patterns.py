@@ -5,6 +5,7 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,12 +100,18 @@ def similar_lines(lines: DataFrame) -> DataFrame:
     def cluster(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("place")
         texts, leaders, of = frame["text"].tolist(), [], []
+        counts = np.array([np.bincount(np.frombuffer(t.encode("utf-32-le"), "<u4") % 64, minlength=64) for t in texts], np.int16)
+        lengths, matcher = np.array([len(t) for t in texts]), SequenceMatcher(None)
         for i, text in enumerate(texts):
-            for j in leaders:
-                a, b = texts[j], text
-                if 2 * min(len(a), len(b)) >= CLUSTER * (len(a) + len(b)) and SequenceMatcher(None, a, b).ratio() >= CLUSTER:
-                    of.append(j)
-                    break
+            matcher.set_seq2(text)  # what is learned of the second text is kept
+            # characters in common bound what two texts can agree in
+            common = np.minimum(counts[leaders], counts[i]).sum(1) if leaders else []
+            for j, n in zip(leaders, common, strict=True):
+                if 2 * n >= CLUSTER * (lengths[i] + lengths[j]):
+                    matcher.set_seq1(texts[j])
+                    if matcher.ratio() >= CLUSTER:
+                        of.append(j)
+                        break
             else:
                 leaders.append(i)
                 of.append(i)
@@ -220,15 +227,25 @@ def similarity(rows: DataFrame, found: DataFrame, between: DataFrame | None = No
     texts = found.select("book", strip("text").alias("v")).union(found.select("book", F.explode("variants").alias("v")).select("book", strip("v")))
     texts = texts.where("v <> ''").groupBy("book").agg(F.array_sort(F.collect_set("v")).alias("texts"))
     out = rows.join(cores, "book", "left").withColumn("s", strip("line"))
-    out = out.withColumn("norm", F.regexp_replace(F.lower(F.regexp_replace("s", r"\d+", "")), r"\s+", " "))
     open_ = F.col("reason").isNull() & (F.col("s") != "") & ~F.startswith("s", F.lit("```")) & (F.length("s") < 200)
+    out = out.withColumn("norm", F.when(open_ & F.col("cores").isNotNull(), F.regexp_replace(F.lower(F.regexp_replace("s", r"\d+", "")), r"\s+", " ")))
     # twice the shorter length bounds what two texts can have in common
-    near = F.filter("cores", lambda c: 2 * F.least(F.length("norm"), F.length(c)) >= DOUBTFUL * (F.length("norm") + F.length(c)))
-    out = out.withColumn("near", F.when(open_, near)).withColumn("compared", F.coalesce(F.size("near") > 0, F.lit(False)))
+    bound = SIMILAR if between is None else DOUBTFUL
+    near = F.filter("cores", lambda c: 2 * F.least(F.length("norm"), F.length(c)) >= bound * (F.length("norm") + F.length(c)))
+    out = out.withColumn("near", F.when(F.col("norm").isNotNull(), near)).withColumn("compared", F.coalesce(F.size("near") > 0, F.lit(False)))
 
     @F.pandas_udf("double")
     def ratio(norm: pd.Series, near: pd.Series) -> pd.Series:
-        return pd.Series([max((SequenceMatcher(None, c, x).ratio() for c in cs), default=0.0) for x, cs in zip(norm, near, strict=True)], dtype="float64")
+        out, matcher = [], SequenceMatcher(None)
+        for x, cs in zip(norm, near, strict=True):
+            matcher.set_seq2(x)
+            best = 0.0
+            for c in cs:
+                matcher.set_seq1(c)
+                if matcher.quick_ratio() >= max(bound, best):
+                    best = max(best, matcher.ratio())
+            out.append(best)
+        return pd.Series(out, dtype="float64")
 
     # only the lines that are compared go through Python
     pairs = out.where("compared").select("book", "norm", "near").distinct().withColumn("ratio", ratio("norm", "near")).select("book", "norm", "ratio")
@@ -246,12 +263,14 @@ def similarity(rows: DataFrame, found: DataFrame, between: DataFrame | None = No
 
 def code_furniture(lines: DataFrame) -> DataFrame:
     """Lines inside code with ``reason`` if they are page furniture."""
-    s = F.col("s")
-    words = F.array_distinct(F.regexp_extract_all(F.lower(s), F.lit("([a-z]+)"), F.lit(1)))
-    grouped = reduce(lambda a, b: a | b, (F.size(F.array_intersect(words, F.array(*map(F.lit, group)))) >= least for group, least in KEYWORD_GROUPS))
-    reason = F.when(F.length(s) < 5, F.lit(None)).when(any_of(s, CODE_PAGE_NUMBER), "page_number").when(any_of(s, CODE_FURNITURE), "header_footer_pattern").when(grouped & ~any_of(s, STRONG_CODE), "keyword_group")
     marked = fence_mask(lines).withColumn("s", strip("line"))
-    return marked.withColumn("reason", F.when(F.col("in_code") & ~F.col("is_fence"), reason)).select("book", "doc_id", "line_no", "line", "reason")
+    inside = F.col("in_code") & ~F.col("is_fence") & (F.length("s") >= 5)
+    words = F.array_distinct(F.regexp_extract_all(F.lower("s"), F.lit("([a-z]+)"), F.lit(1)))
+    # bound to a name, so that a filter on the reason doesn't read the words anew for each group
+    grouped = F.exists(F.array(words), lambda w: reduce(lambda a, b: a | b, (F.size(F.array_intersect(w, F.array(*map(F.lit, group)))) >= least for group, least in KEYWORD_GROUPS)))
+    s = F.col("s")
+    reason = F.when(any_of(s, CODE_PAGE_NUMBER), "page_number").when(any_of(s, CODE_FURNITURE), "header_footer_pattern").when(~any_of(s, STRONG_CODE) & grouped, "keyword_group")
+    return marked.withColumn("reason", F.when(inside, reason)).select("book", "doc_id", "line_no", "line", "reason")
 
 
 def _neighbours(lines: DataFrame) -> DataFrame:

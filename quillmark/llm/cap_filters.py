@@ -294,19 +294,26 @@ def verified(members: DataFrame, plans: dict[int, dict], kind: str, cosine: floa
     return members.mapInArrow(run, "node long, links long, root long")
 
 
+def raw_bytes(ids: pa.Array, lists: pa.ListArray, kind: str) -> pa.Array:
+    """The components of each vector as bytes; null where a vector links with nothing."""
+    values, offsets = lists.values, lists.offsets.to_numpy().astype(np.int64)
+    x = values.fill_null(float("nan")).to_numpy(zero_copy_only=False).astype(np.float64)
+    of = lambda marks: np.diff(np.concatenate([[0], np.cumsum(marks)])[offsets])
+    ok = (of(~np.isfinite(x)) == 0) & (of(x != 0) > 0) & ids.is_valid().to_numpy(False) & lists.is_valid().to_numpy(False)
+    width = np.dtype(kind).itemsize
+    x = np.where(np.isfinite(x), x, 0).astype(kind) + np.dtype(kind).type(0)  # no negative zeros
+    places = (offsets * width).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ids), [pa.array(ok).buffers()[1], pa.py_buffer(places.tobytes()), pa.py_buffer(x.tobytes())])
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of ``vectors`` (vec_id, embedding)."""
     double = "double" in vectors.schema["embedding"].dataType.simpleString()
     kind = "<f8" if double else "<f4"
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for vec_id, x in zip(batch["vec_id"].to_pylist(), batch["embedding"].to_pylist(), strict=True):
-                ok = vec_id is not None and bool(x) and None not in x
-                x = np.array(x, np.float64) if ok else None
-                ok = ok and bool(np.isfinite(x).all() and x.any())
-                out.append((x.astype(kind) + np.dtype(kind).type(0)).tobytes() if ok else None)
-            yield pa.RecordBatch.from_arrays([batch["vec_id"], pa.array(out, pa.binary())], names=["vec_id", "raw"])
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch["vec_id"], raw_bytes(batch["vec_id"], batch["embedding"], kind)], names=["vec_id", "raw"])
 
     rows = common.stored(vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), "embedding").mapInArrow(raw, "vec_id long, raw binary"), "caps-rows")
     classes = common.stored(rows.where("raw is not null").groupBy("raw").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "caps-classes")

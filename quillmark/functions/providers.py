@@ -187,6 +187,26 @@ def client(configured: dict[str, str] | None = None, api: str | None = None, url
     raise ValueError(f"unknown kind of model: {kind}")
 
 
+#: What a layout model is told, with the usual values.
+CONVERSION = {"table_mode": "accurate", "ocr": True, "image_scale": 4.0, "batch_size": 4, "timeout": 7200.0, "images": "placeholder"}
+_CHOICES = {"table_mode": ("accurate", "fast"), "images": ("placeholder", "referenced", "embedded")}
+
+
+def conversion_options(given: dict[str, Any]) -> dict[str, Any]:
+    """``given`` options of a conversion with the usual ones for the rest;
+    names and values that don't exist are errors."""
+    for name, value in given.items():
+        if name not in CONVERSION or value not in _CHOICES.get(name, (value,)) or (name in ("image_scale", "batch_size", "timeout") and not value > 0):
+            raise ValueError(f"conversion option {name}: {value}")
+    return CONVERSION | given
+
+
+def responds(model: TextModel) -> bool:
+    """Whether a model answers at all, to a one-word prompt with a picture of one dot."""
+    dot = "data:image/png;base64,iVBORw0KGgoAAAANSUhEUgAAAAEAAAABCAYAAAAfFcSJAAAADUlEQVR42mNk+M9QDwADhgGAWjR9awAAAABJRU5ErkJggg=="
+    return bool(model.generate("Answer with the word yes.", max_tokens=16, images=(dot,)).strip())
+
+
 def answer_text(answer: dict) -> str:
     """Text of a chat answer: the message's string, or the texts of its list by
     line; else its text, its reasoning, or the choice's own text."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import windows
 from ..functions.storage import checkpointed
-from ..functions.text import any_of, count_chars, rstrip, strip
+from ..functions.text import any_of, count_chars, rstrip, strip, truncate
 
 # Fixed values of the rules.
 PROSE = [
@@ -151,9 +151,9 @@ def issue_counts(found: DataFrame) -> DataFrame:
 
 
 def shown(found: DataFrame, most: int = 30) -> DataFrame:
-    """The first issues of each book, as a report shows them."""
+    """The first issues of each book, cut short, as a report shows them."""
     order = Window.partitionBy("book").orderBy("line_no", "type")
-    return found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most).drop("nth")
+    return found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most).drop("nth").withColumn("content", truncate(F.col("content")))
 
 
 def prose_groups(found: DataFrame, gap: int = GAP) -> DataFrame:

@@ -116,6 +116,12 @@ def last_wins(rows: DataFrame, order: str) -> DataFrame:
     return rows.withColumn("n", F.row_number().over(best)).where("n = 1").drop("n")
 
 
+def ocr_records(read: DataFrame) -> DataFrame:
+    """book, ord, basename, ocr_text, ocr_error of read images (book, ord, path,
+    ocr_text, ocr_error), with white space evened out."""
+    return read.select("book", "ord", basename(F.col("path")).alias("basename"), squeeze(F.col("ocr_text")).alias("ocr_text"), "ocr_error")
+
+
 def document_context(trail: Column, before: Column, after: Column, most: int = CONTEXT_CHARS) -> Column:
     """Headings and text around a figure for a describing model; a mark tells where it was cut."""
     part = lambda name, x: F.when(F.length(x) > 0, F.concat(F.lit(name), x))

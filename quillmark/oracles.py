@@ -261,7 +261,7 @@ ORACLE_SQL: dict[str, str] = {
     "describe_input": rf"""{_CONTEXT(200, 150)}, {_CRUMBS}, y AS (SELECT c.book, c.basename, c.context_before AS cb, c.context_after AS ca, trail FROM ctx c JOIN crumbs USING (book, line_no)),
         x AS (SELECT *, array_to_string(list_filter([CASE WHEN trail <> '' THEN 'Headings: ' || trail END, CASE WHEN cb <> '' THEN '[Before the figure in Markdown]' || chr(10) || cb END, CASE WHEN ca <> '' THEN '[After the figure in Markdown]' || chr(10) || ca END], lambda x: x IS NOT NULL), chr(10) || chr(10)) AS whole FROM y)
         SELECT k.book, k.basename, CASE WHEN trail <> '' THEN string_split(trail, ' > ')[-1] ELSE 'unknown' END AS section, CASE WHEN length(whole) > 300 THEN substr(whole, 1, 300) || chr(10) || '... [context truncated]' ELSE whole END AS document_context,
-        CASE WHEN ordinal % 3 <> 0 AND ordinal % 5 = 0 THEN 'ocr_failed: no reader' WHEN ordinal % 3 = 1 THEN ' read  ' || k.basename ELSE 'unknown' END AS ocr FROM links k LEFT JOIN x ON x.book = k.book AND x.basename = k.basename""",
+        CASE WHEN ordinal % 5 = 0 THEN 'ocr_failed: no reader' WHEN ordinal % 3 = 1 THEN 'read ' || k.basename ELSE 'unknown' END AS ocr FROM links k LEFT JOIN x ON x.book = k.book AND x.basename = k.basename""",
     "enrich_inject": rf"""{_LINKS}, b AS (SELECT book, line_no, ['<!-- figure-enrich -->', '**Figure (enriched):** ' || basename, '', 'a figure', '', '*Keywords:* one, two', '<!-- /figure-enrich -->'] AS block FROM links WHERE ordinal % 2 = 1),
         r AS (SELECT l.book, l.line_no, 0 AS p, l.line FROM lines l UNION ALL SELECT book, line_no, unnest(range(1, 8)), unnest(block) FROM b) SELECT book, CAST(row_number() OVER (PARTITION BY book ORDER BY line_no, p) AS INTEGER) AS line_no, line FROM r""",
     "fixed_ranges": _FIXED + " SELECT book, ord, title, start_page, end_page FROM fx",
@@ -294,7 +294,7 @@ ORACLE_SQL: dict[str, str] = {
         kj AS (SELECT book, count(*) AS n, map_from_entries(list({'k': keyword, 'v': ids} ORDER BY keyword)) AS terms FROM (SELECT book, keyword, list(id ORDER BY id) AS ids FROM k GROUP BY book, keyword) GROUP BY book)
         SELECT cj.book, CAST(to_json({'metadata': {'depth': 4, 'total_lines': total, 'total_chunks': cj.n, 'total_keywords': kj.n, 'without_summary': cj.n}, 'chunks': cj.chunks, 'toc': toc, 'keyword_index': terms}) AS VARCHAR) AS index FROM cj JOIN tj USING (book) JOIN kj USING (book) JOIN totals USING (book)""",
     "typed_fences": _TYPED + " SELECT book, line_no, in_code, role FROM typed",
-    "issue_report": _PROSE + " SELECT book, line_no, type, content FROM issues QUALIFY row_number() OVER (PARTITION BY book ORDER BY line_no, type) <= 30",
+    "issue_report": _PROSE + " SELECT book, line_no, type, CASE WHEN length(content) > 60 THEN substr(content, 1, 57) || '...' ELSE content END AS content FROM issues QUALIFY row_number() OVER (PARTITION BY book ORDER BY line_no, type) <= 30",
     "issue_verification": _PROSE + " SELECT book, line_no, type, confidence FROM issues WHERE confidence <> 'LOW' OR line_no % 2 = 0",
     "codeblock_repair": _REPAIR,
     "pattern_validation": _CLASSIFIED + """, va AS (SELECT * REPLACE (CASE WHEN confidence < 0.35 OR confidence >= 0.6 OR count % 3 = 2 THEN pattern_type WHEN count % 3 = 0 THEN 'footer' ELSE 'content' END AS pattern_type,

@@ -199,7 +199,9 @@ def describe_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = books(spark, sf_dir)
     context = figures.figure_context(lines, 200, 150).join(figures.breadcrumbs(lines), ["book", "line_no"])
     kept = figures.image_links(lines).select("book", "ordinal", "basename")
-    ocr = kept.where("ordinal % 3 <> 0").select("book", "basename", F.col("ordinal").alias("ord"), F.when(F.col("ordinal") % 3 == 1, F.concat(F.lit(" read  "), "basename")).otherwise("").alias("ocr_text"), F.when(F.col("ordinal") % 5 == 0, "no reader").alias("ocr_error"))
+    said = F.when(F.col("ordinal") % 3 == 1, F.concat(F.lit("\r\n read \t "), "basename")).when(F.col("ordinal") % 3 == 2, " \n")
+    read = kept.select("book", F.col("ordinal").alias("ord"), F.concat(F.lit("out/"), "basename").alias("path"), said.alias("ocr_text"), F.when(F.col("ordinal") % 5 == 0, "no reader").alias("ocr_error"))
+    ocr = figures.ocr_records(read)
     return figures.describe_input(kept, context, ocr, 300).select("book", "basename", "section", "document_context", "ocr")
 
 

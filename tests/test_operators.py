@@ -474,6 +474,14 @@ def test_http_models_against_a_local_server():
         providers.client(api="other")
 
 
+def test_options_and_responses():
+    assert providers.conversion_options({"table_mode": "fast"}) == providers.CONVERSION | {"table_mode": "fast"}
+    for bad in ({"table_mode": "slow"}, {"pages": 3}, {"timeout": 0}):
+        with pytest.raises(ValueError):
+            providers.conversion_options(bad)
+    assert providers.responds(providers.Recorded(lambda prompt: "yes")) and not providers.responds(providers.Offline())
+
+
 def test_settings_come_from_the_nearest_file(tmp_path):
     for name, model in (("a", "one"), ("b", "two")):
         (tmp_path / name).mkdir()

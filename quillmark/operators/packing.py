@@ -9,7 +9,7 @@ import itertools
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
@@ -53,8 +53,11 @@ def _spans(found: DataFrame, sizes: DataFrame) -> DataFrame:
 def bookmarks(outline: DataFrame, sizes: DataFrame) -> DataFrame:
     """book, page, title: the first title of each page, pages clamped to the book."""
     rows = outline.join(sizes, "book").where("total_pages > 0").withColumn("page", F.greatest(F.lit(0), F.least("page", F.col("total_pages") - 1)))
-    title = F.coalesce(F.nullif(strip("title"), F.lit("")), F.lit("?"))
-    return rows.groupBy("book", "page").agg(F.min_by(title, "ord").alias("title"))
+    return rows.groupBy("book", "page").agg(F.min_by(_named("title"), "ord").alias("title"))
+
+
+def _named(title: str) -> Column:
+    return F.coalesce(F.nullif(strip(title), F.lit("")), F.lit("?"))
 
 
 def atomic_ranges(outline: DataFrame, regions: DataFrame, sizes: DataFrame, whole: bool = False) -> DataFrame:
@@ -108,7 +111,7 @@ def packed_ranges(atoms: DataFrame, most: int) -> DataFrame:
 
 def chapter_first(outline: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
     """Front matter, then whole chapters that fit, others packed from their bookmarks."""
-    spans = _spans(chapters(outline), sizes).withColumn("region", F.col("ord").cast("int"))
+    spans = _spans(chapters(outline), sizes).withColumns({"region": F.col("ord").cast("int"), "title": _named("title")})
     front = spans.groupBy("book").agg(F.min("start_page").alias("end_page")).where("end_page > 0").select("book", F.lit(-1).alias("region"), F.lit(FRONT).alias("title"), F.lit(0).alias("start_page"), "end_page")
     regions = spans.select("book", "region", "title", "start_page", "end_page").unionByName(front)
     fits = regions.where(F.col("end_page") - F.col("start_page") <= most).select("book", "region", F.lit(1).alias("ord"), "title", "start_page", "end_page")

@@ -383,6 +383,18 @@ def test_split_points_and_strategies(spark):
         packing.split(outline, sizes, 0)
 
 
+def test_titles_of_ranges(spark):
+    sizes = spark.createDataFrame([("b", 30)], "book string, total_pages int")
+    outline = spark.createDataFrame([("b", 1, 0, " ", 3), ("b", 2, 1, "x", 5), ("b", 3, 1, "y", 9), ("b", 4, 0, "two", 12), ("b", 5, 0, "three", 26), ("b", 6, 0, "four", 26)], "book string, ord int, depth int, title string, page int")
+    got = {(r.start_page, r.end_page): r.title for r in packing.chapter_first(outline.where("ord <> 5"), sizes, 8).collect()}
+    assert got == {(0, 3): "文前", (3, 9): "? — ? … x（2 节）", (9, 12): "? — y", (12, 20): "two — two（段 1）", (20, 26): "two — two（段 2）", (26, 30): "four"}
+    got = {(r.start_page, r.end_page): r.title for r in packing.outline_smart(outline, sizes, 9).collect()}
+    assert got == {(0, 5): "开头 … ?（2 节）", (5, 12): "x … y（2 节）", (12, 21): "two（段 1）", (21, 30): "two（段 2） … three（2 节）"}
+    pages = spark.createDataFrame([("b", k, 10) for k in range(30)], "book string, page int, bytes int")
+    halves = packing.by_size(spark.createDataFrame([("b", "t", 0, 9)], "book string, title string, start_page int, end_page int"), pages, packing.bookmarks(outline, sizes), 45)
+    assert {(r.start_page, r.end_page): r.title for r in halves.collect()} == {(0, 3): "t（子段·前）（子段·前）", (3, 5): "t（子段·前）（子段·后）", (5, 9): "t（子段·后）"}
+
+
 def test_missing_parts_and_manifests_are_errors(spark, tmp_path):
     parts = spark.createDataFrame([("m", 1, "m_pt001", "t")], "base_stem string, part_no int, stem string, title string")
     with pytest.raises(Exception, match="no text for part"):

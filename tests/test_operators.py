@@ -392,7 +392,7 @@ def test_titles_of_ranges(spark):
     assert got == {(0, 5): "开头 … ?（2 节）", (5, 12): "x … y（2 节）", (12, 21): "two（段 1）", (21, 30): "two（段 2） … three（2 节）"}
     pages = spark.createDataFrame([("b", k, 10) for k in range(30)], "book string, page int, bytes int")
     halves = packing.by_size(spark.createDataFrame([("b", "t", 0, 9)], "book string, title string, start_page int, end_page int"), pages, packing.bookmarks(outline, sizes), 45)
-    assert {(r.start_page, r.end_page): r.title for r in halves.collect()} == {(0, 3): "t（子段·前）（子段·前）", (3, 5): "t（子段·前）（子段·后）", (5, 9): "t（子段·后）"}
+    assert {(r.start_page, r.end_page): r.title for r in halves.collect()} == {(0, 3): "t（子段·前）", (3, 5): "t（子段·后）（子段·前）", (5, 9): "t（子段·后）（子段·后）"}
 
 
 def test_missing_parts_and_manifests_are_errors(spark, tmp_path):

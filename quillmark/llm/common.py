@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -58,8 +59,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-#: Tables written inside open scopes.
+#: Tables written inside open scopes, and where stored tables lie.
 _SCOPES: list[list[str]] = []
+_PLACES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -70,34 +72,37 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     if _SCOPES:
         _SCOPES[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PLACES[out] = path
+    return out
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a stored table."""
+def _delete(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def forget(df: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more; other tables stay."""
+    if path := _PLACES.pop(df, None):
+        _delete(df.sparkSession, path)
+
+
 def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
     """The stored result of ``make``; tables that it stored on the way are
     deleted once the result is written, and only then."""
     _SCOPES.append([])
     try:
-        df = make()
-        path = f"{shared_folder(df.sparkSession)}/quillmark-{name}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        spark, schema = df.sparkSession, df.schema
-    except BaseException:
-        left = _SCOPES.pop()
+        out = stored(make(), name)
+    finally:
+        made = _SCOPES.pop()
         if _SCOPES:
-            _SCOPES[-1].extend(left)
-        raise
-    for old in _SCOPES.pop():
-        discard(spark, old)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
-    return spark.read.schema(schema).parquet(path)
+            _SCOPES[-1].extend(made)
+    path = _PLACES[out]
+    for old in made:
+        if old != path:
+            _delete(out.sparkSession, old)
+    return out
 
 
 def row_key(df: DataFrame) -> tuple[Column, Column]:

@@ -2,7 +2,7 @@ import corpus_pipeline
 from test_search_operators import plain_discovery, plain_line_dedup, plain_simhash
 from test_text_operators import check_packing, plain_rules
 
-from quillmark.llm import packing, pii
+from quillmark.llm import common, packing, pii
 
 
 def test_pipeline_against_plain_stages(spark, docs):
@@ -27,3 +27,13 @@ def test_stages_keep_columns_and_take_odd_rows(spark, odd, empty):
             if name != "best_fit_packing":
                 assert docs.columns == table.columns
         docs.count()
+
+
+def test_a_run_leaves_its_result_only(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_folder", lambda spark: str(tmp_path))
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = [p.name for p in tmp_path.iterdir()]
+    assert len(left) == 1 and left[0].startswith("quillmark-pipeline-best_fit_packing") and out.count() > 0
+    common.forget(docs)
+    common.forget(out)
+    assert not list(tmp_path.iterdir()) and docs.count() > 0

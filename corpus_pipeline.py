@@ -67,5 +67,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = common.settled(partial(stage, spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, common.settled(partial(stage, spark, docs, sf_dir), f"pipeline-{name}")
+        common.forget(before)
     return docs

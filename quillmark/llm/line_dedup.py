@@ -8,9 +8,10 @@ and what remains is the line's template.  Different lines are counted, not
 documents, so more copies of a corpus have the same templates.  With ``near`` a
 line also falls to a line of its leaf that more documents hold (the heaviest of
 those with which it agrees in a quarter of its places) if they agree in
-``CONSTANT_SHARE`` of its tokens without digits.  Lines whose template recurs in
-``min_docs`` documents or more are dropped, except in the first of these
-documents (by doc_id), which keeps its first such line.
+``CONSTANT_SHARE`` of its tokens without digits.  Lines that recur in
+``min_docs`` documents or more, as they stand or by their template, are dropped,
+except in the first of these documents (by doc_id), which keeps its first such
+line.
 
 Lines travel as two 64-bit hashes and a few numbers.  Only lines in leaves that
 hold different lines are looked up again for their tokens, one copy of each.
@@ -122,10 +123,11 @@ def recurring(docs: DataFrame, hashes: DataFrame, min_docs: int = MIN_DOCS, near
     shaped = shapes.where("template is not null")
     total = shaped.groupBy("leaf", "template").agg(F.sum("docs").alias("total"), F.min("first").alias("earliest")).where(F.col("total") >= min_docs)
     general = shaped.join(total, ["leaf", "template"]).select("h1", "h2", F.col("earliest").alias("first"))
-    alone = kinds.where(F.col("docs") >= min_docs).join(shapes.select("leaf").distinct(), "leaf", "left_anti").select("h1", "h2", "first")
-    found = general.unionByName(alone)
+    # a line that recurs as it stands (digits aside) needs no template
+    found = general.unionByName(kinds.where(F.col("docs") >= min_docs).select("h1", "h2", "first"))
     if near:
-        found = found.unionByName(similar(shapes, tokens, min_docs)).groupBy("h1", "h2").agg(F.min("first").alias("first"))
+        found = found.unionByName(similar(shapes, tokens, min_docs))
+    found = found.groupBy("h1", "h2").agg(F.min("first").alias("first"))
     return found.select("h1", "h2", F.col("first.k1").alias("f1"), F.col("first.k2").alias("f2"))
 
 

@@ -465,9 +465,9 @@ def plain_line_dedup(rows, min_docs=2, near=False, short=False):
         if sum(len(docs_of[t]) for t in lines) >= min_docs:
             for t in lines:
                 first[t] = min(d for x in lines for d in docs_of[x])
-    if near:
-        for t, d in plain_near(docs_of, leaf, min_docs).items():
-            first[t] = min(d, first.get(t, d))
+    more = [{t: min(d) for t, d in docs_of.items() if len(d) >= min_docs}, plain_near(docs_of, leaf, min_docs) if near else {}]
+    for t, d in (item for found in more for item in found.items()):
+        first[t] = min(d, first.get(t, d))
     again = {t: min(d) for t, d in few.items() if t and len(d) >= min_docs} if short else {}
     out = {}
     for i, text in rows:
@@ -529,6 +529,13 @@ def test_line_dedup_generalises_at_any_size(spark):
     assert [got[i].n_dropped for i in (4000, 4001, 4002)] == [1, 1, 0]
 
 
+def test_lines_that_recur_as_they_stand_need_no_template(spark):
+    lines = ["one two three four are all that these share", "one two three four then come quite other words"]
+    rows = [(i, lines[0]) for i in range(4)] + [(9, lines[1])]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 1, 2: 1, 3: 1, 9: 0}
+
+
 def test_line_dedup_drops_short_exact_repeats(spark):
     rows = [(1, "Les.\nPage 4\n\n中文没有空格的一段话"), (2, "Les.\n\n Page  4\nPage 5\n7 8 9 1"), (3, "Les.\nLes.\n中文没有空格的一段话\n7 8 9 2"), (4, "Lis.\nPage 6")]
     out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), short=True)

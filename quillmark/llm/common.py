@@ -231,16 +231,17 @@ def connected_components(edges: DataFrame, name: str = "components", most_rounds
     smallest node that can be reached.
 
     Alternates large-star and small-star steps over edge tables in the shared
-    folder until neither changes the edges.  Steps aggregate before they join,
-    so that a hub is one row on one side of a join that AQE can split; nothing
-    but two counters comes to the driver."""
+    folder until every node has one edge, to a node that has none of its own;
+    an edge leads to the smaller node, so that is the smallest.  Steps aggregate
+    before they join, so that a hub is one row on one side of a join that AQE
+    can split; nothing but a number comes to the driver.  Tables of earlier
+    rounds are deleted."""
     pairs = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    return settled(lambda: _components(stored(pairs, f"{name}-0"), name, most_rounds), f"{name}-settled")
-
-
-def _components(pairs: DataFrame, name: str, most_rounds: int) -> DataFrame:
-    state = None
+    pairs = stored(pairs, f"{name}-0")
     for round_ in range(1, most_rounds + 1):
+        if _are_stars(pairs):
+            roots = pairs.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
+            return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -252,12 +253,14 @@ def _components(pairs: DataFrame, name: str, most_rounds: int) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
-        pairs = stored(small, f"{name}-{round_}")
-        now = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == state or now[0] == 0:
-            break
-        state = now
-    else:
-        raise RuntimeError("connected components did not settle")
-    roots = pairs.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+        before, pairs = pairs, stored(small, f"{name}-{round_}")
+        forget(before)
+    raise RuntimeError("connected components did not settle")
+
+
+def _are_stars(pairs: DataFrame) -> bool:
+    """Whether each u has one v, and no v is a u."""
+    ends = pairs.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(pairs.select("v", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    worst = nodes.agg(F.max(F.col("up") * (F.col("down") + 1))).first()[0]
+    return (worst or 0) <= 1

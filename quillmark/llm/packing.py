@@ -10,8 +10,9 @@ little is gained.
 
 Edge cases: null and empty texts are a document of the closing id alone; texts
 of any length are cut; repeated rows and null doc_ids are packed like others;
-columns named in ``carry`` come along, others do not; an empty table gives an
-empty result.
+other columns than doc_id and text are left behind by ``pack_documents`` and come
+along in ``pack_pieces`` whatever their names; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations

@@ -29,8 +29,8 @@ from . import common
 SAMPLE = 1_000
 #: Sampled rows up to which they are broadcast.
 BROADCAST_ROWS = 300_000
-#: Tasks that thin out the documents of a language, by a hash of doc_id.
-SALTS = 64
+#: Documents of a language, for each that is wanted, among which one task chooses.
+OVERSAMPLE = 4
 #: Tasks that count a language's sample.
 SHARES = 8
 BUCKETS = 1 << 16
@@ -82,13 +82,17 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, n
 def train(docs: DataFrame, allowed: Column, sample: int = SAMPLE) -> Model:
     """Learn from at most ``sample`` documents of each ``lang`` that are ``allowed``."""
     common.small_batches(docs.sparkSession)
-    order = [F.xxhash64("doc_id", F.lit(2)), F.col("doc_id")]
-    dealt, whole = Window.partitionBy("lang", "__salt").orderBy(*order), Window.partitionBy("lang").orderBy(*order)
     ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & allowed).select(F.col("doc_id").cast("long").alias("doc_id"), "lang").distinct()
-    # a common language is thinned in many tasks before one task chooses
-    ids = ids.withColumn("__salt", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(SALTS)))
-    ids = ids.withColumn("__n", F.row_number().over(dealt)).where(F.col("__n") <= sample)
-    ids = ids.withColumn("__n", F.row_number().over(whole)).where(F.col("__n") <= sample).select("doc_id", "lang")
+    ids = ids.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(2)).alias("hash"))
+    # a common language is thinned where it lies: only the lowest hashes, a few
+    # times as many as are wanted, go to the task that chooses among them
+    counts = common.stored(ids.groupBy("lang").agg(F.count("*").alias("n")), "language-counts")
+    if counts.count() <= BROADCAST_ROWS:
+        counts = F.broadcast(counts)
+    place = F.col("hash") / 2.0**64 + 0.5  # even in 0 to 1
+    ids = ids.join(counts, "lang").where(place * F.col("n") <= OVERSAMPLE * sample)
+    order = Window.partitionBy("lang").orderBy("hash", "doc_id")
+    ids = ids.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).select("doc_id", "lang")
     ids = common.stored(ids, "language-sample")
     if ids.count() <= BROADCAST_ROWS:  # ``sample`` for each language
         ids = F.broadcast(ids)

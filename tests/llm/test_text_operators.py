@@ -34,8 +34,11 @@ def test_bpe_against_plain_merges(spark, docs):
     with open(queries.RANKS, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     got = {r.doc_id: r for r in queries.op3_byte_bpe(spark, SF).collect()}
-    for r in docs.orderBy(F.length("text")).limit(60).collect():
-        ids = [i for p in regex.findall(public_tokenizers.PATTERN, r.text or "") for i in plain_bpe(ranks, p.encode())]
+    known = {}
+    for r in docs.collect():
+        pieces = [p.encode() for p in regex.findall(public_tokenizers.PATTERN, r.text or "")]
+        known |= {p: plain_bpe(ranks, p) for p in set(pieces) - set(known)}
+        ids = [i for p in pieces for i in known[p]]
         assert got[r.doc_id].n_tokens == len(ids)
         assert got[r.doc_id].ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert got[r.doc_id].decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
@@ -159,11 +162,14 @@ def test_language_is_right_on_held_out_rows(spark, docs, odd, empty):
     assert {(r.lang_pred, r.score) for r in language_id.predict(odd, nothing).collect()} == {("und", 0.0)}
 
 
-def test_language_sample_does_not_depend_on_salting(docs, monkeypatch):
-    many = language_id.train(docs, F.lit(True), sample=5)
-    monkeypatch.setattr(language_id, "SALTS", 1)
-    one = language_id.train(docs, F.lit(True), sample=5)
-    assert many.languages == one.languages and (many.log_probability == one.log_probability).all()
+def test_language_sample_is_that_of_the_lowest_hashes(spark, docs, monkeypatch):
+    few = language_id.train(docs, F.lit(True), sample=5)
+    lowest = docs.where("lang is not null").select("doc_id", "lang", "text", F.expr("row_number() over (partition by lang order by xxhash64(doc_id, 2))").alias("n")).where("n <= 5")
+    plain = language_id.train(lowest, F.lit(True))
+    assert few.languages == plain.languages and (few.log_probability == plain.log_probability).all()
+    monkeypatch.setattr(language_id, "OVERSAMPLE", 10**9)
+    whole = language_id.train(docs, F.lit(True), sample=5)
+    assert (few.log_probability == whole.log_probability).all()
 
 
 def test_quality_is_right_on_held_out_rows(spark, docs, odd, empty):

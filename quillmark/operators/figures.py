@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import windows
-from ..functions.paths import relative_path
-from ..functions.text import basename, rstrip, squeeze, strip, without_mark
+from ..functions.paths import inside, relative_path
+from ..functions.text import after_output, basename, rstrip, squeeze, strip, without_mark
 
 LINK = r"!\[[^\]]*\]\(([^)]+)\)"
 MARKED = r"!\[([^\]]*)\]\(([^)]+)\)"
@@ -116,6 +116,15 @@ def last_wins(rows: DataFrame, order: str) -> DataFrame:
     return rows.withColumn("n", F.row_number().over(best)).where("n = 1").drop("n")
 
 
+def record_paths(records: DataFrame, output: str | None = None) -> DataFrame:
+    """Records with image_path relative to the output folder: what follows the
+    first ``/output/``, or where ``output`` names the folder, the path within it;
+    other paths stay."""
+    path = F.col("image_path")
+    new = F.coalesce(after_output(path), path) if output is None else inside(path, F.lit(output))
+    return records.withColumn("image_path", new)
+
+
 def ocr_records(read: DataFrame) -> DataFrame:
     """book, ord, basename, ocr_text, ocr_error of read images (book, ord, path,
     ocr_text, ocr_error), with white space evened out."""

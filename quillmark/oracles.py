@@ -306,6 +306,7 @@ ORACLE_SQL: dict[str, str] = {
     "offline_summaries": _KEYWORDS + " SELECT c.book, c.id, coalesce(kw, '') AS keywords FROM chunks c LEFT JOIN (SELECT book, id, string_agg(keyword, ',' ORDER BY r) AS kw FROM k GROUP BY book, id) x ON x.book = c.book AND x.id = c.id",
     "image_pairing_shift": f"{_LINKS}, {_RECORDS}, {_NUMBERED}, th AS (SELECT book, basename, CAST(row_number() OVER (PARTITION BY book ORDER BY ordinal) AS INTEGER) AS ordinal FROM links WHERE CAST(regexp_extract(basename, '[0-9]+') AS BIGINT) % 7 <> 0) SELECT k.book, k.ordinal, k.basename, n.image_id FROM th k JOIN numbered n ON n.book = k.book AND n.ordinal = k.ordinal",
     "figure_descriptions": f"WITH {_RECORDS} SELECT image_id, ord % 5 <> 0 AS ok, CASE WHEN ord % 5 <> 0 THEN 'T ' || image_id END AS title, CASE WHEN ord % 5 <> 0 THEN CAST(1 AS DOUBLE) END AS sure, CASE WHEN ord % 5 <> 0 THEN 'unknown' END AS summary, CASE WHEN ord % 5 <> 0 THEN image_id || '.png' END AS image_path FROM records",
+    "record_paths": f"WITH {_RECORDS} SELECT image_id, CASE WHEN ord % 2 = 0 THEN './a/' || image_id ELSE '/data/out/' || image_id END AS by_marker, CASE WHEN ord % 2 = 0 THEN '/srv/output/./a/' || image_id ELSE 'out/' || image_id END AS image_path FROM records",
     "batch_status": "SELECT count(*) AS total, count(*) FILTER (WHERE doc_id % 5 <> 0) AS succeeded, count(*) FILTER (WHERE doc_id % 5 = 0) AS failed, CAST(CASE WHEN count(*) FILTER (WHERE doc_id % 5 = 0) = 0 THEN 0 ELSE 1 END AS INTEGER) AS status FROM documents",
     "resumed_parts": _FIXED + " SELECT book, ord AS part_no, book || '_pt' || lpad(CAST(ord AS VARCHAR), 3, '0') AS stem FROM fx WHERE ord >= 2 AND ord % 2 = 0",
     "size_bounded_ranges": _FIXED.replace("WITH ", "WITH RECURSIVE ", 1).replace("0, total_pages, 20", "0, total_pages, 50").replace("a + 20", "a + 50") + """, m AS (SELECT DISTINCT book, least(page, total_pages - 1) AS page FROM outline JOIN sizes USING (book)),

@@ -219,6 +219,15 @@ def figure_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("image_id", "ok", F.get_json_object("record", "$.title").alias("title"), F.get_json_object("record", "$.confidence").cast("double").alias("sure"), F.get_json_object("record", "$.summary").alias("summary"), F.get_json_object("record", "$.image_path").alias("image_path"))
 
 
+@query
+def record_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Absolute paths in two folders, by the marker and by the folder's name."""
+    folder = F.when(F.col("ord") % 2 == 0, "/srv/output/./a/").otherwise("/data/out/")
+    records = _records(spark, sf_dir).select("image_id", F.concat(folder, "image_id").alias("image_path"))
+    marked = figures.record_paths(records).withColumnRenamed("image_path", "by_marker")
+    return marked.join(figures.record_paths(records, "/data"), "image_id")
+
+
 @query
 def batch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages.batch_report(_records(spark, sf_dir).withColumn("ok", F.col("ord") % 5 != 0))
